@@ -155,7 +155,8 @@ GOLD_GRAIN = {
 
 def _results(measured: DataFrame, check: str, table: str, ok: Column | None = None) -> DataFrame:
     """Turn a one-row frame of named numbers into result rows."""
-    long = measured.unpivot([], measured.columns, "subject", "value")
+    quoted = [F.col(f"`{name}`") for name in measured.columns]
+    long = measured.unpivot([], quoted, "subject", "value")
     value = F.col("value").cast("long")
     return long.select(
         F.lit(check).alias("check_name"),

@@ -856,14 +856,18 @@ def oracle_queries() -> dict[str, str]:
             "raw_trips",
         ),
         # Files
-        "timetable_scan": view("raw_stop_times"),
+        # A blank field of a file is NULL.
+        "timetable_scan": query(
+            "select * replace (nullif(arrival_time, '') as arrival_time) from raw_stop_times",
+            "raw_stop_times",
+        ),
         "decode_flatten": query(
             f"select {_HISTORY_COLUMNS} from realtime where true", "realtime"
         ),
         "archive_layout": query(
-            "select cast(date '1970-01-01' + cast(floor(feed_timestamp / 86400) as int) as date)"
-            " as ingestion_date, cast((feed_timestamp % 86400) // 3600 as int) as hour,"
-            " count(*) as payloads from realtime group by all",
+            "select cast(date '2024-01-01' + cast(h // 24 as int) as date) as ingestion_date,"
+            " cast(h % 24 as int) as hour, count(*) as payloads"
+            " from (select (feed_timestamp % 172800) // 3600 as h from realtime) group by all",
             "realtime",
         ),
         "publish_reconcile": query(

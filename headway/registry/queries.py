@@ -374,7 +374,8 @@ def _decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("archive_layout")
 def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = payloads_of(t.feed_rows(spark, sf_dir))
-    landed_at = F.timestamp_seconds("feed_timestamp")
+    # Two landing days, to keep the number of folders small.
+    landed_at = F.timestamp_seconds(F.lit(t.NOW) + F.col("feed_timestamp") % 172800)
     archived = archive_snapshots(payloads, new_folder(spark, "archive"), landed_at)
     return archived.groupBy("ingestion_date", "hour").agg(F.count("*").alias("payloads"))
 

@@ -25,18 +25,24 @@ AGENCIES = tuple(range(20))
 NOW = 1704067200
 LATER = 1705363200
 
+# Order dates are folded into this many service days from 2024-01-01 on, which
+# include a change to summer time.
+SERVICE_DAYS = 120
+
 SPARK = {
     "days": "datediff(l_shipdate, o_orderdate)",
-    "order_epoch": "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', o_orderdate)",
+    "service_day": f"datediff(o_orderdate, date'1970-01-01') % {SERVICE_DAYS}",
     "event_epoch": "timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts)",
 }
 DUCKDB = {
     "days": "date_diff('day', o_orderdate, l_shipdate)",
-    "order_epoch": "cast(epoch(o_orderdate) as bigint)",
+    "service_day": "date_diff('day', date '1970-01-01', cast(o_orderdate as date))"
+    f" % {SERVICE_DAYS}",
     "event_epoch": "cast(floor(epoch(ts)) as bigint)",
 }
 
 _STOP = "(l_orderkey * 7 + l_linenumber) % {stops}"
+_MIDNIGHT = f"({NOW} + ({{service_day}}) * cast(86400 as bigint))"
 _SECONDS = "(14400 + (l_orderkey * 613) % 72000 + l_linenumber * 900)"
 
 
@@ -99,14 +105,14 @@ REALTIME = [
     "case when l_partkey % 97 = 0 then null else cast(l_linenumber as bigint) end"
     " as stop_sequence",
     "case when l_partkey % 41 = 0 then null"
-    f" else {{order_epoch}} + {_SECONDS} + {{days}} end as arrival_time_actual",
-    f"{{order_epoch}} + {_SECONDS} + {{days}} + 60 as departure_time_actual",
+    f" else {_MIDNIGHT} + {_SECONDS} + {{days}} end as arrival_time_actual",
+    f"{_MIDNIGHT} + {_SECONDS} + {{days}} + 60 as departure_time_actual",
     "case when l_partkey % 19 = 0 then null else cast({days} as bigint) end"
     " as arrival_delay_seconds",
     "case when l_partkey % 23 = 0 then null else cast({days} + 30 as bigint) end"
     " as departure_delay_seconds",
-    f"{{order_epoch}} + {_SECONDS} + {{days}} + (l_partkey % 1801) - 900 as feed_timestamp",
-    "cast(o_orderdate as date) as start_date",
+    f"{_MIDNIGHT} + {_SECONDS} + {{days}} + (l_partkey % 1801) - 900 as feed_timestamp",
+    "date '2024-01-01' + cast({service_day} as int) as start_date",
 ]
 VEHICLES = [
     "{event_epoch} - {event_epoch} % 86400 as feed_timestamp",
