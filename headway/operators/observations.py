@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from headway.functions import seconds_apart
 from headway.operators.picking import top_row
 
+# The trip comes first: it tells most rows apart, which is what sorts go by.
 STOP_KEY = ["trip_id", "stop_id", "stop_sequence"]
-EVENT_KEY = ["service_date", *STOP_KEY]
+EVENT_KEY = [*STOP_KEY, "service_date"]
 
 _CONTEXT = [
     "route_id",

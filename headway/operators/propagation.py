@@ -16,7 +16,9 @@ from headway.operators.reliability import (
     with_running_total,
 )
 
-TRIP_DAY = ["service_date", "trip_id"]
+TRIP_DAY = ["trip_id", "service_date"]
+# Stop sequences per piece; above what a timetabled trip has.
+SEQUENCE_PIECE = 1000
 _CARRIED = {
     "stop_id": "previous_stop_id",
     "stop_name": "previous_stop_name",
@@ -36,15 +38,46 @@ _BASE = [
 ]
 
 
-def with_previous_stop(events: DataFrame) -> DataFrame:
+def with_previous_stop(events: DataFrame, piece: int = SEQUENCE_PIECE) -> DataFrame:
     """Each event with the one before it on the same trip and day.
 
     Previous means previously observed: a stop without a delay is no event here
     and is bridged.
+
+    A trip is worked on in pieces of its stop sequence, so that no task has to
+    order a trip of any length. Nearly all trips fit into their first piece; for
+    the others, the first event of a piece follows the last one of the piece
+    before, which is looked up among one row per piece. Without such trips that
+    lookup reads nothing and adaptive execution drops the join.
     """
-    in_order = Window.partitionBy(*TRIP_DAY).orderBy("stop_sequence", "stop_id")
-    return events.select(
-        "*", *(F.lag(name).over(in_order).alias(alias) for name, alias in _CARRIED.items())
+    cut = events.withColumn("_piece", F.floor(F.col("stop_sequence") / F.lit(piece)))
+    order = ["stop_sequence", "stop_id"]
+    in_piece = Window.partitionBy(*TRIP_DAY, "_piece").orderBy(*order)
+    placed = cut.select(
+        "*",
+        F.row_number().over(in_piece).alias("_place"),
+        *(F.lag(name).over(in_piece).alias(alias) for name, alias in _CARRIED.items()),
+    )
+
+    beyond = cut.filter((F.col("stop_sequence") >= piece) | (F.col("stop_sequence") < 0))
+    long_trips = beyond.select(*TRIP_DAY).distinct()
+    last = F.max_by(F.struct(*_CARRIED), F.struct(*order))
+    ends = (
+        cut.join(long_trips, TRIP_DAY, "left_semi")
+        .groupBy(*TRIP_DAY, "_piece")
+        .agg(last.alias("_end"))
+    )
+    by_piece = Window.partitionBy(*TRIP_DAY).orderBy("_piece")
+    before = ends.select(*TRIP_DAY, "_piece", F.lag("_end").over(by_piece).alias("_before"))
+
+    def previous(name: str, alias: str):
+        at_start = F.when(F.col("_place") == 1, F.col("_before")[name])
+        return F.coalesce(F.col(alias), at_start).alias(alias)
+
+    return placed.join(
+        before.filter("_before is not null"), [*TRIP_DAY, "_piece"], "left"
+    ).select(
+        *events.columns, *(previous(name, alias) for name, alias in _CARRIED.items())
     )
 
 

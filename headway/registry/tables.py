@@ -8,6 +8,8 @@ customers as routes, suppliers as stops and events as vehicle positions.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
@@ -151,10 +153,17 @@ def filled(expressions: list[str], names: dict[str, str]) -> list[str]:
     return [text.format(**names) for text in expressions]
 
 
+@lru_cache(maxsize=None)
+def _opened(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    # The files never change, so their schema is looked up once per session.
+    return _opened(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@lru_cache(maxsize=None)
 def _size(spark: SparkSession, sf_dir: str, name: str) -> int:
     # Answered from file footers.
     return table(spark, sf_dir, name).count()
