@@ -1,0 +1,135 @@
+"""The physical plans keep the properties the design relies on."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from headway.operators import observations as obs
+from headway.operators.history import dedupe_observations
+from headway.operators.reliability import route_reliability
+from headway.operators.scope import observations_in_scope
+from headway.registry import tables as t
+from headway.registry.oracles import oracle_queries
+from headway.registry.queries import QUERIES
+from headway.session import SCALE_SETTINGS, shared_folder
+from tests.conftest import SMALL
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def shuffled(spark):
+    """No side counts as small, as for tables of full size."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield spark
+    spark.conf.set(key, before)
+
+
+NO_FILES = {"append_new_snapshots", "timetable_scan", "archive_layout", "publish_reconcile",
+            "not_null_gold", "unique_grain_gold"}
+BATCH = sorted(n for n in QUERIES if n not in NO_FILES and not n.startswith("stream_"))
+
+
+@pytest.mark.parametrize("name", BATCH)
+def test_no_query_pairs_all_rows(shuffled, name):
+    plan = plan_of(QUERIES[name](shuffled, SMALL))
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+    # Nothing is broadcast by hint: sizes decide.
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_every_query_has_sql():
+    assert set(oracle_queries()) == set(QUERIES)
+
+
+def test_canonical_choice_is_limited_before_the_shuffle(shuffled):
+    picks = obs.canonical_snapshots(obs.numbered_history(t.realtime(shuffled, SMALL)))
+    plan = plan_of(picks)
+    window = plan.index("Window [")
+    assert plan.count("WindowGroupLimit") == 2
+    exchange = plan.index("Exchange hashpartitioning", window)
+    assert plan.index("WindowGroupLimit", exchange) > exchange
+
+
+def test_metrics_combine_before_the_shuffle(spark, folder):
+    spark.createDataFrame(
+        [(1, "a", "b", "bus", 5)],
+        "route_id long, route_short_name string, route_long_name string, transport_mode string,"
+        " arrival_delay_seconds long",
+    ).write.parquet(folder)
+    plan = plan_of(route_reliability(spark.read.parquet(folder)))
+    # Counting is hash aggregation on both sides of the first shuffle.
+    assert "partial_count(1)" in plan
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert "PushedFilters: [IsNotNull(arrival_delay_seconds)]" in plan
+
+
+def test_windows_do_not_inherit_a_join_key(shuffled):
+    trips = t.scoped_static(shuffled, SMALL)["trips"]
+    plan = plan_of(dedupe_observations(observations_in_scope(t.realtime(shuffled, SMALL), trips)))
+    window = plan.index("Window [")
+    first_exchange = plan.index("Exchange hashpartitioning(", window)
+    assert first_exchange < plan.index("SortMergeJoin", window)
+    keys = plan[first_exchange : plan.index(")", first_exchange)]
+    assert "feed_timestamp" in keys and "trip_id" in keys and "stop_sequence" in keys
+
+
+def test_only_needed_columns_are_read(spark):
+    plan = plan_of(QUERIES["feed_profile"](spark, SMALL))
+    scan = plan[plan.index("FileScan parquet [l_") :]
+    scan = scan[: scan.index("]")]
+    assert "l_extendedprice" not in scan and "l_comment" not in scan
+
+
+def test_hot_keys_of_a_join_are_split(spark, folder):
+    """A third of the rows on one trip: the join is split by adaptive execution
+    and nothing is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "20",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        rows = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, "7").otherwise((F.col("id") % 500).cast("string")).alias(
+                "trip_id"
+            ),
+            F.col("id").cast("string").alias("stop_id"),
+        )
+        rows.repartition(12).write.parquet(f"{folder}/rows")
+        spark.range(500).select(F.col("id").alias("trip_id")).write.parquet(f"{folder}/trips")
+        observations = spark.read.parquet(f"{folder}/rows")
+        kept = observations_in_scope(observations, spark.read.parquet(f"{folder}/trips"))
+        kept.write.parquet(f"{folder}/kept")
+        assert spark.read.parquet(f"{folder}/kept").distinct().count() == 60000
+        kept.collect()
+        assert "skew=true" in plan_of(kept)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def test_settings_are_applied(spark):
+    QUERIES["routes_scope"](spark, SMALL)
+    assert all(spark.conf.get(key) == value for key, value in SCALE_SETTINGS.items())
+
+
+def test_shared_folder_follows_the_session(spark):
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = shared_folder(spark)
+    assert folder == shared_folder(spark)
+    if named:
+        assert folder == named.rstrip("/")
