@@ -15,6 +15,8 @@ OBSERVATION_KEY = ("feed_timestamp", "trip_id", "stop_sequence")
 # The history is laid out by the day of the snapshot, so looking for a snapshot
 # reads that day's folder only.
 HISTORY_PARTITION = "feed_date"
+# The day prunes folders, the time prunes what is read of each file.
+_SPAN = (HISTORY_PARTITION, "feed_timestamp")
 
 
 def dedupe_observations(observations: DataFrame) -> DataFrame:
@@ -56,12 +58,14 @@ def append_new_snapshots(
     try:
         fresh = dated
         if catalog.exists(table):
-            days = dated.agg(
-                F.min(HISTORY_PARTITION).alias("first"), F.max(HISTORY_PARTITION).alias("last")
+            span = dated.agg(
+                *[F.min(name).alias(f"first_{name}") for name in _SPAN],
+                *[F.max(name).alias(f"last_{name}") for name in _SPAN],
             ).first()
-            same_days = catalog.read(table).filter(
-                F.col(HISTORY_PARTITION).between(days["first"], days["last"])
-            )
+            same_days = catalog.read(table)
+            for name in _SPAN:
+                within = F.col(name).between(span[f"first_{name}"], span[f"last_{name}"])
+                same_days = same_days.filter(within)
             fresh = unseen_snapshots(dated, same_days)
         catalog.append(fresh, table, [HISTORY_PARTITION])
     finally:

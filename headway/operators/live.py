@@ -23,9 +23,14 @@ from headway.operators.picking import keep_first, top_row
 
 
 def newest_snapshot(rows: DataFrame) -> DataFrame:
-    """Rows of the latest snapshot time."""
-    newest = rows.agg(F.max("feed_timestamp").alias("feed_timestamp"))
-    return rows.join(newest, "feed_timestamp", "left_semi")
+    """Rows of the latest snapshot time, found by a subquery that the scan can
+    filter by."""
+    return rows.filter(F.col("feed_timestamp") == latest_value(rows, "feed_timestamp"))
+
+
+def latest_value(rows: DataFrame, name: str) -> Column:
+    """The greatest value of a column, as a subquery."""
+    return rows.agg(F.max(name)).scalar()
 
 
 # Static context

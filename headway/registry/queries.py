@@ -93,8 +93,8 @@ def board_vehicle_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     shown = t.vehicles(spark, sf_dir).filter(
         "vehicle_id is not null and trip_id is not null and latitude is not null"
     )
-    newest = t.vehicles(spark, sf_dir).agg(F.max("feed_timestamp").alias("feed_timestamp"))
-    return shown.join(newest, "feed_timestamp", "left_semi")
+    newest = live.latest_value(t.vehicles(spark, sf_dir), "feed_timestamp")
+    return shown.filter(F.col("feed_timestamp") == newest)
 
 
 def context(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -423,7 +423,7 @@ def _stream_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream-vehicles")
     state, checkpoint = f"{folder}/state", f"{folder}/checkpoint"
     _finish(stream_live.start_vehicle_state(_vehicle_stream(spark, sf_dir), state, checkpoint))
-    return stream_live.read_vehicle_state(spark, state).select(
+    return stream_live.read_last_batch(spark, state).select(
         "vehicle_id", "trip_id", "latitude", "longitude", "vehicle_timestamp"
     )
 
@@ -435,7 +435,7 @@ def _stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = t.raw_timetable(spark, sf_dir)["trips"]
     vehicles = _vehicle_stream(spark, sf_dir)
     _finish(stream_live.start_known_routes(vehicles, trips, routes, checkpoint))
-    return spark.read.parquet(routes)
+    return stream_live.read_last_batch(spark, routes).select("route_id")
 
 
 @registered("stream_live_board")
@@ -456,4 +456,4 @@ def _stream_board(spark: SparkSession, sf_dir: str) -> DataFrame:
             checkpoint,
         )
     )
-    return stream_live.read_live_board(spark, rows)
+    return stream_live.read_last_batch(spark, rows)

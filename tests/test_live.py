@@ -193,8 +193,8 @@ def test_vehicle_streams(spark, folder):
             board_folder,
             f"{folder}/c3",
         ).awaitTermination()
-    now = {r.vehicle_id: r.trip_id for r in streams.read_vehicle_state(spark, state).collect()}
+    now = {r.vehicle_id: r.trip_id for r in streams.read_last_batch(spark, state).collect()}
     assert now == {"a": "12", "b": "13", "c": "999"}
-    assert sorted(r.route_id for r in spark.read.parquet(known).collect()) == [1, 2]
-    last = {r.vehicle_id for r in streams.read_live_board(spark, board_folder).collect()}
+    assert sorted(r.route_id for r in streams.read_last_batch(spark, known).collect()) == [1, 2]
+    last = {r.vehicle_id for r in streams.read_last_batch(spark, board_folder).collect()}
     assert last == {"a", "c"}
