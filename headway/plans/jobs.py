@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from headway.constants import SCOPE_AGENCIES
 from headway.operators import reliability as rel
@@ -114,13 +116,31 @@ _BY_DAY = (
 )
 
 
-def build_gold(silver: dict[str, DataFrame], catalog: Catalog) -> dict[str, DataFrame]:
+def build_gold(
+    silver: dict[str, DataFrame], catalog: Catalog, days: Iterable[date] | None = None
+) -> dict[str, DataFrame]:
     """Write the twelve Gold tables; each is computed once and then read back.
 
-    A written table is also where a lost executor's work restarts from.
+    A written table is also where a lost executor's work restarts from. With
+    ``days``, the row-level tables are recomputed for those service days only,
+    which is enough after an append: each of their rows depends on the history
+    of its own day. The aggregates are refreshed from the whole tables.
     """
+    if days is not None:
+        history = silver["realtime_stop_events"]
+        wanted = history.filter(F.col("start_date").isin(list(days)))
+        silver = {**silver, "realtime_stop_events": wanted}
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        return catalog.replace(df, name, ["service_date"] if name in _BY_DAY else [])
+        if name not in _BY_DAY:
+            return catalog.replace(df, name)
+        if days is None:
+            return catalog.replace(df, name, ["service_date"])
+        return catalog.replace_parts(day_rows(df, days), name, ["service_date"])
 
     return gold_frames(silver, keep)
+
+
+def day_rows(df: DataFrame, days: Iterable[date]) -> DataFrame:
+    """Rows of the given service days; prunes a table laid out by day."""
+    return df.filter(F.col("service_date").isin(list(days)))

@@ -516,10 +516,8 @@ _LATEST = (
     " vehicle_id order by entity_index desc) as rn from vehicles where vehicle_id is not null)"
     " where rn = 1"
 )
-# Every tenth vehicle is followed, whether it is on the board or not.
-_FOLLOWED = (
-    "(select distinct vehicle_id from vehicles where cast(vehicle_id as bigint) % 10 = 0)"
-)
+# Every vehicle is followed, whether it is on the board or not.
+_FOLLOWED = "(select distinct vehicle_id from vehicles)"
 VIEWS["latest"] = (_LATEST, ["vehicles"])
 VIEWS["followed"] = (
     f"select b.* from live_board b join {_FOLLOWED} f on b.vehicle_id = f.vehicle_id",

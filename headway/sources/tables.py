@@ -43,6 +43,14 @@ class Catalog:
         self._save(writer.option("overwriteSchema", "true"), table)
         return self.read(table)
 
+    def replace_parts(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> DataFrame:
+        """Replace only the partitions that ``df`` has rows for."""
+        if not self.exists(table):
+            return self.replace(df, table, partition_by)
+        in_order = df.select(*self.read(table).columns)
+        self._save_parts(in_order.hint("rebalance", *partition_by), table, partition_by)
+        return self.read(table)
+
     def append(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         """Append rows, creating the table on first use."""
         self._save(self._writer(df, partition_by).mode("append"), table)
@@ -56,7 +64,13 @@ class Catalog:
         return shaped.write.format(self.fmt).partitionBy(*partition_by)
 
     def _save(self, writer: DataFrameWriter, table: str) -> None:
-        writer.saveAsTable(self.name(table))
+        # Kept with the table, where later inserts look it up.
+        writer.option("partitionOverwriteMode", "dynamic").saveAsTable(self.name(table))
+
+    def _save_parts(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+        # A plain overwrite would drop the table; an insert keeps the other
+        # partitions. The table knows its partition columns.
+        df.write.mode("overwrite").insertInto(self.name(table))
 
 
 @dataclass(frozen=True)
@@ -75,3 +89,7 @@ class FolderCatalog(Catalog):
 
     def _save(self, writer: DataFrameWriter, table: str) -> None:
         writer.save(self.name(table))
+
+    def _save_parts(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
+        writer = df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by)
+        writer.option("partitionOverwriteMode", "dynamic").save(self.name(table))

@@ -13,7 +13,7 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     warehouse = str(tmp_path_factory.mktemp("warehouse"))
-    session = local_session("4", shuffle_partitions=4, memory="4g", warehouse=warehouse)
+    session = local_session("4", shuffle_partitions=2, memory="4g", warehouse=warehouse)
     yield session
     session.stop()
 

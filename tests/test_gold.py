@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.operators import observations as obs
+from headway.operators import quality
 from headway.operators import reliability as rel
 from headway.operators.propagation import delay_propagation_events, route_delay_propagation
 from headway.plans.jobs import build_gold, gold_frames
 from headway.sources.publish import parquet_sink, publish, read_published
-from headway.sources.tables import Catalog
-from headway.operators import quality
+from headway.sources.tables import Catalog, FolderCatalog
 from tests import silver as s
 
 
@@ -214,13 +214,7 @@ def test_build_and_publish_gold(spark, folder):
     assert len(gold) == 12
     assert gold["reliability_stop_observations"].count() == 12
     assert gold["reliability_stop_events"].count() == 6
-    gold = build_gold(tables, Catalog(spark, "gold_test"))
     assert gold["route_reliability"].count() == 2
-    plain = gold_frames(tables)
-    for name, df in gold.items():
-        columns = sorted(df.columns)
-        left = sorted(map(repr, df.select(columns).collect()))
-        assert left == sorted(map(repr, plain[name].select(columns).collect())), name
     assert quality.unique_grain_gold(gold).filter("not passed").count() == 0
     assert quality.not_null_gold(gold).filter("not passed").count() == 0
     names = publish(gold, parquet_sink(folder))
@@ -239,3 +233,25 @@ def test_shares_add_up(spark):
     assert all(0 <= r.on_time_pct + r.over_5_min_late_pct <= 100 for r in route)
     change = route_delay_propagation(delay_propagation_events(events_of(spark, rows))).collect()
     assert all(r.pct_delay_accumulated + r.pct_delay_recovered <= 100.01 for r in change)
+
+
+@pytest.mark.parametrize("metastore", [True, False])
+def test_days_can_be_rebuilt_alone(spark, folder, metastore):
+    if metastore:
+        spark.sql("create database if not exists days_test")
+        catalog = Catalog(spark, "days_test")
+    else:
+        catalog = FolderCatalog(spark, folder)
+    monday = s.DAY + datetime.timedelta(days=1)
+    first = [s.seen(100, i, 10, day=s.DAY) for i in (1, 2)]
+    build_gold(s.tables(spark, first), catalog)
+    later = first + [s.seen(100, i, 20, day=monday) for i in (1, 2, 3)]
+    later += [s.seen(200, 1, 7, day=monday)]
+    partly = build_gold(s.tables(spark, later), catalog, days=[monday])
+    whole = gold_frames(s.tables(spark, later))
+    for name in ("reliability_stop_observations", "delay_propagation_stop_events",
+                 "route_reliability", "daily_reliability_metrics"):
+        df = partly[name]
+        columns = sorted(df.columns)
+        left = sorted(map(repr, df.select(columns).collect()))
+        assert left == sorted(map(repr, whole[name].select(columns).collect())), name
