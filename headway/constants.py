@@ -92,3 +92,6 @@ SERVING_TABLES = (
     "route_weekday_reliability",
     "route_delay_propagation",
 )
+
+# Fixed value: vehicle status the feed specification assumes when none is sent.
+DEFAULT_STATUS = 2

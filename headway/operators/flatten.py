@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from headway.constants import DEFAULT_STATUS
 from headway.functions import compact_date
 from headway.operators.picking import keep_last
 
@@ -83,7 +84,7 @@ def vehicle_rows(
         F.col("part.position.longitude").alias("longitude"),
         F.col("part.timestamp").alias("vehicle_timestamp"),
         _filled("part.stop_id").alias("stop_id"),
-        F.col("part.current_status").alias("current_status"),
+        F.coalesce("part.current_status", F.lit(DEFAULT_STATUS)).alias("current_status"),
     )
     if require_trip:
         rows = rows.filter("vehicle_id is not null and trip_id is not null")

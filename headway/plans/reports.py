@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway import constants as c
-from headway.functions import weekday_number
+from headway.functions import is_late, is_on_time, is_very_late, weekday_number
 from headway.operators.reliability import ROUTE_KEY, share_pct
 
 
@@ -167,6 +167,37 @@ def headline_kpis(route_reliability: DataFrame) -> DataFrame:
     )
 
 
+def kpi_cross_check(route_reliability: DataFrame, events: DataFrame) -> DataFrame:
+    """Headline figures out of the route table against the events themselves.
+
+    The route table holds rounded metrics, so the two may differ by the rounding
+    of one hundredth.
+    """
+    delay = F.col("arrival_delay_seconds")
+    total = F.count("*")
+
+    def share(condition: Column) -> Column:
+        return share_pct(F.count(F.when(condition, 1)), total)
+
+    direct = events.filter(delay.isNotNull()).agg(
+        total.cast("double").alias("total_observations"),
+        F.round(F.avg(delay), 2).alias("avg_arrival_delay_seconds"),
+        share(is_on_time(delay)).alias("on_time_pct"),
+        share(is_late(delay)).alias("over_5_min_late_pct"),
+        share(is_very_late(delay)).alias("over_10_min_late_pct"),
+    )
+    names = direct.columns
+    served = headline_kpis(route_reliability).select(
+        *[F.col(name).cast("double").alias(name) for name in names]
+    )
+    pairs = served.unpivot([], names, "metric", "from_routes").join(
+        direct.unpivot([], names, "metric", "from_events"), "metric"
+    )
+    # Compared in whole hundredths, as a difference of doubles is not exact.
+    gap = F.abs(F.round(F.col("from_routes") * 100) - F.round(F.col("from_events") * 100))
+    return pairs.withColumn("matches", F.coalesce(gap <= 1, F.lit(False)))
+
+
 def avg_vs_p95(
     route_reliability: DataFrame, min_observations: int = c.MIN_ROUTE_OBSERVATIONS
 ) -> DataFrame:

@@ -523,6 +523,23 @@ VIEWS["followed"] = (
     f"select b.* from live_board b join {_FOLLOWED} f on b.vehicle_id = f.vehicle_id",
     ["live_board", "vehicles"],
 )
+# The headline figures twice: out of the route table, and of the events.
+_SHARES = ("on_time_pct", "over_5_min_late_pct", "over_10_min_late_pct")
+VIEWS["r"] = (
+    "select cast(sum(observations) as double) as total_observations, "
+    + ", ".join(
+        f"{_weighted(name, 'observations')} as {name}"
+        for name in ("avg_arrival_delay_seconds", *_SHARES)
+    )
+    + " from route_reliability",
+    ["route_reliability"],
+)
+VIEWS["e"] = (
+    "select cast(observations as double) as total_observations, avg_arrival_delay_seconds, "
+    + ", ".join(_SHARES)
+    + f" from ({metrics('(select *, 1 as whole from canonical)', 'whole', 'observations')})",
+    ["canonical"],
+)
 _HISTORY_COLUMNS = (
     "trip_id, stop_id, stop_sequence, arrival_time_actual, departure_time_actual,"
     " arrival_delay_seconds, departure_delay_seconds, feed_timestamp, start_date"
@@ -706,6 +723,24 @@ def oracle_queries() -> dict[str, str]:
             "route_weekday_reliability",
             "canonical",
         ),
+        "kpi_cross_check": query(
+            _union(
+                [
+                    f"select '{name}' as metric, r.{name} as from_routes, e.{name} as from_events,"
+                    f" abs(round(r.{name} * 100) - round(e.{name} * 100)) <= 1 as matches"
+                    " from r, e"
+                    for name in (
+                        "total_observations",
+                        "avg_arrival_delay_seconds",
+                        "on_time_pct",
+                        "over_5_min_late_pct",
+                        "over_10_min_late_pct",
+                    )
+                ]
+            ),
+            "r",
+            "e",
+        ),
         "filtered_routes": query(
             "select * from route_reliability where transport_mode in ('bus', 'subway')",
             "route_reliability",
@@ -862,6 +897,13 @@ def oracle_queries() -> dict[str, str]:
         "decode_flatten": query(
             f"select {_HISTORY_COLUMNS} from realtime where true", "realtime"
         ),
+        "decode_vehicles": query(
+            "select feed_timestamp, vehicle_id, trip_id, route_id,"
+            " cast(latitude as float) as latitude, cast(longitude as float) as longitude,"
+            " vehicle_timestamp, stop_id, current_status from vehicles"
+            " where trip_id is not null and latitude is not null",
+            "vehicles",
+        ),
         "archive_layout": query(
             "select cast(date '2024-01-01' + cast(h // 24 as int) as date) as ingestion_date,"
             " cast(h % 24 as int) as hour, count(*) as payloads"

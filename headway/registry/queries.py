@@ -17,6 +17,7 @@ from headway.operators import reliability as rel
 from headway.operators.flatten import (
     trip_update_rows,
     typed_observations,
+    vehicle_rows,
     vehicles_by_id,
     vehicles_by_trip,
 )
@@ -26,7 +27,7 @@ from headway.operators.scope import observations_in_scope
 from headway.plans import reports
 from headway.plans.jobs import gold_frames
 from headway.registry import tables as t
-from headway.registry.encode import payloads_of
+from headway.registry.encode import payloads_of, vehicle_payloads_of
 from headway.session import configure, new_folder
 from headway.sources.feed import decode_feed, require_feed
 from headway.sources.publish import parquet_sink, publish, read_published
@@ -244,6 +245,12 @@ _over(
     "weekday_coverage",
 )
 
+_over(
+    events,
+    lambda df: reports.kpi_cross_check(rel.route_reliability(df), df),
+    "kpi_cross_check",
+)
+
 # Live board and feed inspection
 
 _over(t.vehicles, vehicles_by_id, "latest_vehicles")
@@ -370,6 +377,13 @@ def _decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return typed_observations(trip_update_rows(require_feed(feed)))
 
 
+@registered("decode_vehicles")
+def _decode_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = decode_feed(vehicle_payloads_of(t.vehicles(spark, sf_dir)))
+    # Each payload holds one entity, so its place within the feed says nothing.
+    return vehicle_rows(feed).drop("entity_index")
+
+
 @registered("archive_layout")
 def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = payloads_of(t.feed_rows(spark, sf_dir))
