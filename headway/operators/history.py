@@ -51,22 +51,24 @@ def append_new_snapshots(
 ) -> None:
     """Append the snapshots that are not in the table yet.
 
-    The batch may hold any number of snapshots, of any age. It is read three
-    times, so it is held on disk meanwhile; a lost executor recomputes its part.
+    The batch may hold any number of snapshots, of any age. Next to an existing
+    history it is read three times, so it is held on disk meanwhile; a lost
+    executor recomputes its part. The first load is streamed straight through.
     """
-    dated = with_feed_date(batch.filter("feed_timestamp is not null")).persist(StorageLevel.MEMORY_AND_DISK)
+    dated = with_feed_date(batch.filter("feed_timestamp is not null"))
+    if not catalog.exists(table):
+        catalog.append(dated, table, [HISTORY_PARTITION])
+        return
+    dated = dated.persist(StorageLevel.DISK_ONLY)
     try:
-        fresh = dated
-        if catalog.exists(table):
-            span = dated.agg(
-                *[F.min(name).alias(f"first_{name}") for name in _SPAN],
-                *[F.max(name).alias(f"last_{name}") for name in _SPAN],
-            ).first()
-            same_days = catalog.read(table)
-            for name in _SPAN:
-                within = F.col(name).between(span[f"first_{name}"], span[f"last_{name}"])
-                same_days = same_days.filter(within)
-            fresh = unseen_snapshots(dated, same_days)
-        catalog.append(fresh, table, [HISTORY_PARTITION])
+        span = dated.agg(
+            *[F.min(name).alias(f"first_{name}") for name in _SPAN],
+            *[F.max(name).alias(f"last_{name}") for name in _SPAN],
+        ).first()
+        same_days = catalog.read(table)
+        for name in _SPAN:
+            within = F.col(name).between(span[f"first_{name}"], span[f"last_{name}"])
+            same_days = same_days.filter(within)
+        catalog.append(unseen_snapshots(dated, same_days), table, [HISTORY_PARTITION])
     finally:
         dated.unpersist()

@@ -19,7 +19,7 @@ from headway.functions import (
     live_mode,
     route_sort_key,
 )
-from headway.operators.picking import keep_first, top_row
+from headway.operators.picking import keep_first, keep_last
 
 
 def newest_snapshot(rows: DataFrame) -> DataFrame:
@@ -140,19 +140,28 @@ def _trip_number(df: DataFrame) -> Column:
 
 
 def board_vehicles(vehicles: DataFrame, context: DataFrame) -> DataFrame:
-    """One row per vehicle (first in the feed) with its trip's context."""
-    single = keep_first(vehicles, ["vehicle_id"], "entity_index").select(
-        "vehicle_id", "trip_id", "latitude", "longitude", "vehicle_timestamp"
-    )
-    known = context.withColumnRenamed("trip_id", "_trip")
-    return single.join(known, _trip_number(single) == known["_trip"], "left").select(
-        *single.columns,
-        "route_id",
+    """One row per vehicle (first in the feed) with its trip's context.
+
+    The choice comes after the join, so a trip that the timetable repeats does
+    not repeat its vehicle.
+    """
+    known = context.withColumnRenamed("trip_id", "_trip").withColumnRenamed("route_id", "_route")
+    joined = vehicles.join(known, _trip_number(vehicles) == known["_trip"], "left").select(
+        "vehicle_id",
+        "trip_id",
+        "latitude",
+        "longitude",
+        "vehicle_timestamp",
+        "entity_index",
+        F.col("_route").alias("route_id"),
         F.coalesce("route_short_name", F.lit(c.UNKNOWN_LINE)).alias("route_short_name"),
         "route_long_name",
         F.coalesce("transport_mode", F.lit(c.LIVE_MODE_DEFAULT)).alias("transport_mode"),
         F.coalesce("destination", F.lit(c.UNKNOWN_DESTINATION)).alias("destination"),
     )
+    return keep_first(
+        joined, ["vehicle_id"], "entity_index", "route_id", "route_short_name", "destination"
+    ).drop("entity_index")
 
 
 def next_stop_by_trip(updates: DataFrame, now: int | Column) -> DataFrame:
@@ -161,10 +170,14 @@ def next_stop_by_trip(updates: DataFrame, now: int | Column) -> DataFrame:
     event_time = F.coalesce(
         F.nullif("arrival_time", F.lit(0)), F.nullif("departure_time", F.lit(0))
     )
-    coming = updates.withColumn("event_time", event_time).filter(F.col("event_time") >= moment)
-    nearest = top_row(coming, ["trip_id"], [F.col("event_time"), F.col("update_index")])
+    coming = (
+        updates.withColumn("event_time", event_time)
+        .withColumn("_trip", F.col("trip_id").try_cast("bigint"))
+        .filter((F.col("event_time") >= moment) & F.col("_trip").isNotNull())
+    )
+    nearest = keep_first(coming, ["_trip"], "event_time", "update_index")
     return nearest.select(
-        F.col("trip_id").try_cast("bigint").alias("_trip"),
+        "_trip",
         F.col("stop_sequence").cast("int").alias("stop_sequence"),
         "event_time",
         F.coalesce("arrival_delay", "departure_delay").alias("delay_seconds"),
@@ -185,7 +198,7 @@ def with_next_stop(
     key = ["_trip", "stop_sequence"]
     # The timetable is cut down to the few stops ahead before the outer join,
     # whose preserved side could not be broadcast.
-    ahead = places.join(coming.select(*key), key, "left_semi")
+    ahead = keep_last(places.join(coming.select(*key), key, "left_semi"), key, "next_stop_id")
     resolved = coming.join(ahead, key, "left").withColumn("_matched", F.lit(True))
     matched = F.col("_matched").isNotNull()
     stop_name = F.coalesce(

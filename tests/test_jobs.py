@@ -53,6 +53,14 @@ def test_scan_goes_by_header_names(spark, timetable):
     assert dict(times.dtypes)["arrival_time"] == "string"
 
 
+def test_doubled_quotes(spark, folder):
+    os.makedirs(folder)
+    with open(f"{folder}/stops.txt", "w") as file:
+        file.write(FILES["stops"].replace("11,A,", '11,"The ""A"", north",'))
+    names = [r.stop_name for r in read_timetable(spark, folder, "stops").collect()]
+    assert names == ['The "A", north', "B", "C", "D"]
+
+
 def test_missing_column_is_named(spark, folder):
     os.makedirs(folder)
     with open(f"{folder}/trips.txt", "w") as file:

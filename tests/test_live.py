@@ -94,6 +94,19 @@ def test_next_stop(spark):
     assert (got["c"].route_short_name, got["c"].transport_mode) == ("Unknown", "other")
 
 
+def test_repeated_timetable_rows_do_not_repeat_vehicles(spark):
+    trips, routes, times, stops = network(spark)
+    decoded = decode_feed(payloads(spark, feed(NOW, vehicle("a", "11"))))
+    context = live.trip_context(trips.union(trips), routes, times, stops)
+    rows = live.board_vehicles(flatten.vehicle_rows(decoded), context)
+    state = flatten.trip_update_state(
+        decode_feed(payloads(spark, feed(NOW, trip("11", stop(2, arrival=event(NOW))))))
+    )
+    places = live.trip_stops(times.union(times), stops)
+    board = live.with_next_stop(rows, flatten.stop_update_rows(state), places, NOW)
+    assert [(r.vehicle_id, r.next_stop) for r in board.collect()] == [("a", "Two")]
+
+
 def test_cards_and_kpis(spark):
     vehicles = [vehicle("a", "11"), vehicle("b", "14"), vehicle("c", "999")]
     updates = [trip("11", stop(2, arrival=event(NOW + 60, 0)))]
