@@ -498,6 +498,7 @@ def _hundredths(difference: str) -> str:
     return f"cast(round(({difference}) * 100) as bigint) / 100.0"
 
 
+_IN_BOTH = "count(case when v is not null and u is not null then 1 end)"
 _VISIBLE = "('bus', 'ferry', 'subway', 'tram')"
 _SORT = (
     "case when regexp_matches(route_short_name, '^[0-9]') then 0 else 1 end,"
@@ -827,8 +828,8 @@ def oracle_queries() -> dict[str, str]:
         ),
         "feed_overlap": query(
             "select count(v) as vehicle_trips, count(u) as update_trips,"
-            " count(case when v is not null and u is not null then 1 end) as trips_in_both,"
-            f" {half_up_1('100 * count(case when v is not null and u is not null then 1 end)', 'count(v)')}"
+            f" {_IN_BOTH} as trips_in_both,"
+            f" {half_up_1(f'100 * {_IN_BOTH}', 'count(v)')}"
             " as match_rate from (select distinct trip_id as v from vehicles"
             " where trip_id is not null) full join"
             " (select distinct cast(trip_id as varchar) as u from updates) on v = u",

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from headway.operators import flatten, inspect, live
 from headway.sources.feed import decode_feed
 from headway.streaming import live as streams
