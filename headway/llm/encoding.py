@@ -1,21 +1,32 @@
 """Token ids of whole texts by a public tokenizer file, a fragment at a time.
 
 A text is cut before every space that follows a non-space; both tokenizer kinds used
-here never join characters over such a place. Fragments repeat a lot, so each is
-encoded once and then looked up. The table of fragments is emptied when it is full;
-that changes the time, never the ids.
+here never join characters over such a place, nor a letter with punctuation after it.
+Fragments repeat a lot, so each is encoded once and then looked up. The table of fragments
+is kept in two generations: when the young one is full the old one goes. That changes the
+time, never the ids.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
+from itertools import chain
 
 _SPACES = re.compile(r"\s ")
 _PLACES = re.compile(r"(?<=\S)(?= )")
-_MOST_FRAGMENTS, _MOST_CHARACTERS = 400_000, 8_000_000
+# Punctuation that ends words; both tokenizers cut between a letter and a run of it.
+_ENDINGS = ".,;:!?)%*#$&"
+# Letters of Latin-1: single code points that lower-casing and NFC leave single.
+_LETTERS = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+# Byte-level tokenizers spell a byte by its printable Latin-1 character, and the others, in
+# order, by the code points from 256.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SPELLING = {
+    b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)
+}
+_MOST_FRAGMENTS, _MOST_CHARACTERS = 250_000, 8_000_000
 _encoders: dict[str, FragmentEncoder] = {}
 
 
@@ -28,28 +39,73 @@ class FragmentEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._known: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
         self._characters = 0
+        self._endings: dict[str, bytes] = {}
+        self._tokenize = self._tokenizer.model.tokenize
+        # A lower-casing tokenizer drops the space, the other one spells it as a letter.
+        probe = self._tokenizer.encode(" A", add_special_tokens=False).tokens
+        self._lowers = probe == ["a</w>"]
+        if not self._lowers and probe != ["\u0120A"]:
+            self._word = lambda word: None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self._known) > _MOST_FRAGMENTS or self._characters > _MOST_CHARACTERS:
-            self._known, self._characters = {}, 0
         cut = [_fragments(t) for t in texts]
         known = self._known
-        new = list({f for fragments in cut for f in fragments if f not in known})
-        for at in range(0, len(new), 1024):
-            part = new[at : at + 1024]
-            done = self._tokenizer.encode_batch_fast(part, add_special_tokens=False)
-            for fragment, encoding in zip(part, done, strict=True):
-                known[fragment] = np.array(encoding.ids, "<u4").tobytes()
-                self._characters += len(fragment)
+        new = set(chain.from_iterable(cut)).difference(known)
+        if len(known) + len(new) > _MOST_FRAGMENTS or self._characters > _MOST_CHARACTERS:
+            self._old, self._known, self._characters = known, {}, 0
+            known = self._known
+            new = set(chain.from_iterable(cut))
+        self._learn(new)
         return [b"".join(map(known.__getitem__, fragments)) for fragments in cut]
 
+    def _learn(self, new: set[str]) -> None:
+        """Add fragments: from the old generation, by word and ending, or encoded whole."""
+        known, old, rest = self._known, self._old.get, []
+        for fragment in new:
+            if (ids := old(fragment)) is None:
+                word = fragment.rstrip(_ENDINGS)
+                ids = self._word(word)
+                if ids is None:
+                    rest.append(fragment)
+                    continue
+                if len(word) < len(fragment):
+                    ids += self._ending(fragment[len(word) :])
+            known[fragment] = ids
+        self._characters += sum(map(len, new))
+        for at in range(0, len(rest), 1024):
+            some = rest[at : at + 1024]
+            done = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            for fragment, encoding in zip(some, done, strict=True):
+                known[fragment] = array("I", encoding.ids).tobytes()
+
+    def _word(self, word: str) -> bytes | None:
+        """Ids of Latin letters, with or without a space before them; of nothing else.
+
+        Such a word is what the tokenizer itself would hand to its model.
+        """
+        if not _LETTERS(word):
+            return None
+        if self._lowers:
+            word = word.lstrip(" ").lower()
+        if not (word.isascii() and word[0] != " "):
+            word = word.encode().decode("latin-1").translate(_SPELLING)
+        return array("I", [t.id for t in self._tokenize(word)]).tobytes()
+
+    def _ending(self, ending: str) -> bytes:
+        if ending not in self._endings:
+            if len(self._endings) > 10_000:
+                self._endings.clear()
+            encoding = self._tokenizer.encode(ending, add_special_tokens=False)
+            self._endings[ending] = array("I", encoding.ids).tobytes()
+        return self._endings[ending]
+
 
 def _fragments(text: str) -> list[str]:
-    if _SPACES.search(text):
+    if "\0" in text or _SPACES.search(text):
         return _PLACES.split(text)
-    first, *others = text.split(" ")
-    return [first, *(" " + o for o in others)]
+    return text.replace(" ", "\0 ").split("\0")
 
 
 def encoder(path: str) -> FragmentEncoder:
