@@ -11,11 +11,15 @@ Equal sets are grouped first and stand in once. Signatures are cut into bands; d
 that agree in a band are candidates. Candidates pass a bit digest of the signature (far
 wider than its error), and then are compared on their full sets. Links go to union-find.
 
-Within a band bucket not all pairs are looked at: round one compares the members with the
-smallest one of the bucket, and later rounds with another one each, as long as a bucket
-holds different groups; the last round takes all pairs of different groups that are left
-in a bucket. So copies by the thousand cost as many comparisons, and every two texts that
-agree in a band and are not in one group already have been compared.
+Within a band bucket not all pairs are looked at. Round one compares the members with the
+smallest one of the bucket. Buckets that still hold different groups stay open, and their
+documents get two bounds on every similarity, both exact: shingles that no other open
+document has cannot be shared; and bits that differ between two parity bitmaps stand for
+shingles that only one of two sets has. Round two compares with the member that has fewest
+exclusive shingles, the one nearest to what copies were made from; round three takes the
+pairs of different groups that are left and within the bounds. Copies by the thousand so cost a few
+comparisons each, and no two texts that agree in a band go without one, unless they are in
+one group already or cannot be similar.
 
 Defined results: texts without words have an empty set and are linked with nothing; fewer
 than five words are one shingle. A null doc_id is linked with nothing, its component is
@@ -41,6 +45,8 @@ ROWS, BANDS = 4, 31
 # Of the digest's 127 bits a pair of similarity 0.75 differs in 16 on average, with a
 # standard deviation under 3.7: six of those are allowed.
 MOST_BITS = 38
+# Bitmaps of 64 * LANES bits: each shingle flips one.
+LANES = 16
 _GOLD = 0x9E3779B97F4A7C15
 _EMPTY = np.uint32(0xFFFFFFFF)
 
@@ -165,19 +171,22 @@ def _confirm(share: int):
     return run
 
 
-def _close(left: str, right: str):
-    """Whether sizes and digests allow the similarity of two members."""
-    small = F.least(f"{left}.n", f"{right}.n")
-    large = F.greatest(f"{left}.n", f"{right}.n")
-    bits = F.bit_count(F.col(f"{left}.d1").bitwiseXOR(F.col(f"{right}.d1"))) + F.bit_count(
-        F.col(f"{left}.d2").bitwiseXOR(F.col(f"{right}.d2"))
+def _close(share: int):
+    """Whether sizes, digests and exclusive shingles allow the similarity of x and y."""
+    sizes = F.col("x.n") + F.col("y.n")
+    common = F.least(F.col("x.n") - F.col("x.own"), F.col("y.n") - F.col("y.own"))
+    bits = F.bit_count(F.col("x.d1").bitwiseXOR(F.col("y.d1"))) + F.bit_count(
+        F.col("x.d2").bitwiseXOR(F.col("y.d2"))
     )
-    return (100 * small >= 75 * large) & (bits <= MOST_BITS)
+    apart = sum(
+        (F.bit_count(F.col("x.map")[i].bitwiseXOR(F.col("y.map")[i])) for i in range(LANES)),
+        F.lit(0),
+    )
+    overlap = F.coalesce(F.least(common, (sizes - apart) / 2), common)
+    return ((100 + share) * overlap >= share * sizes) & (bits <= MOST_BITS)
 
 
-def near_duplicates(
-    documents: DataFrame, similarity_percent: int = 75, star_rounds: int = 2
-) -> DataFrame:
+def near_duplicates(documents: DataFrame, similarity_percent: int = 75) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     similarity_percent must be 75 or more: bands and digests are made for that.
@@ -185,7 +194,9 @@ def near_duplicates(
     if similarity_percent < 75:
         raise ValueError("the bands are made for a similarity of 75 percent or more")
     spark = documents.sparkSession
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    docs = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")
+    )
     sketches = stored(docs.mapInArrow(_sketch, _SKETCH), "sketches")
     sets = sketches.filter("set_key is not null and doc_id is not null")
     stands = stored(
@@ -198,39 +209,38 @@ def near_duplicates(
         ),
         "sets",
     )
-    rows = stands.select("id", "n", "d1", "d2", F.explode("bands").alias("band"))
+    rows = stands.select(
+        "id", "n", F.lit(0).cast("long").alias("own"), "d1", "d2", F.explode("bands").alias("band")
+    )
     shared = rows.groupBy("band").agg(F.count("*").alias("members")).filter("members > 1")
-    members = stored(rows.join(shared, "band").drop("members"), "buckets")
-
-    groups = None
-    confirmed = None
-    tried = None
-    for round_ in range(star_rounds + 1):
-        open_ = members.withColumn("root", F.col("id"))
-        if groups is not None:
-            up = groups.select(F.col("node").alias("id"), F.col("root").alias("up"))
-            open_ = members.join(up, "id", "left").withColumn("root", F.coalesce("up", "id"))
-            mixed = open_.groupBy("band").agg(
-                F.min("root").alias("low"), F.max("root").alias("high")
-            )
-            mixed = mixed.filter("low < high").select("band")
-            open_ = stored(open_.drop("up").join(mixed, "band"), "buckets")
+    members = rows.join(shared, "band").drop("members")
+    members = stored(members.withColumn("map", F.lit(None).cast("array<long>")), "buckets")
+    # Texts are moved by id once; all rounds read what is left of them here.
+    ids = members.select(F.col("id").alias("doc_id")).distinct()
+    docs = stored(docs.join(ids, "doc_id", "left_semi"), "texts")
+
+    groups = confirmed = tried = None
+    for round_ in (1, 2, 3):
+        if round_ == 1:
+            open_ = members.withColumn("root", F.col("id"))
+        else:
+            open_ = _still_open(members, groups)
             if open_.isEmpty():
                 break
-        member = F.struct("id", "n", "d1", "d2", "root")
-        if round_ < star_rounds:
-            # The first of the bucket; later a pseudo-random other one.
-            order = F.col("id") if round_ == 0 else F.xxhash64("id", F.lit(round_))
-            centres = open_.groupBy("band").agg(F.min(F.struct(order, member.alias("c"))).alias("m"))
-            pairs = open_.select("band", member.alias("x")).join(
-                centres.select("band", F.col("m.c").alias("y")), "band"
-            )
+        if round_ == 2:
+            members = stored(_with_exclusive(docs, stands, open_), "buckets")
+            open_ = members
+        member = F.struct("id", "n", "own", "d1", "d2", "map", "root")
+        if round_ < 3:
+            first = F.min(F.struct("own", "id", member.alias("m"))).alias("first")
+            centres = open_.groupBy("band").agg(first).select("band", F.col("first.m").alias("y"))
+            pairs = open_.select("band", member.alias("x")).join(centres, "band")
         else:
             pairs = open_.select("band", member.alias("x")).join(
                 open_.select("band", member.alias("y")), "band"
             )
             pairs = pairs.filter("x.id < y.id")
-        pairs = pairs.filter((F.col("x.root") != F.col("y.root")) & _close("x", "y"))
+        pairs = pairs.filter((F.col("x.root") != F.col("y.root")) & _close(similarity_percent))
         pairs = pairs.select(
             F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")
         ).distinct()
@@ -244,6 +254,67 @@ def near_duplicates(
     return _labelled(spark, sketches, sets, stands, confirmed, groups)
 
 
+def _still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """Members, with their present root, of buckets that hold different groups."""
+    up = groups.select(F.col("node").alias("id"), F.col("root").alias("up"))
+    named = members.drop("root").join(up, "id", "left")
+    named = named.withColumn("root", F.coalesce("up", "id")).drop("up")
+    mixed = named.groupBy("band").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    return stored(named.join(mixed.filter("low < high").select("band"), "band"), "buckets")
+
+
+def _with_exclusive(docs: DataFrame, stands: DataFrame, open_: DataFrame) -> DataFrame:
+    """Members with `own`, the number of shingles that no other member's set has, and `map`.
+
+    They are 0 and null for documents whose rows have several sets: what they have together
+    says nothing about each.
+    """
+    several = stands.groupBy("id").agg(F.count("*").alias("sets")).filter("sets > 1")
+    ids = open_.select("id").distinct().join(several, "id", "left_anti")
+    texts = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
+    # A repeated row would make its own shingles common.
+    texts = texts.groupBy("doc_id").agg(F.first("text").alias("text"))
+    shingles = texts.mapInArrow(_shingle_rows, "id long, shingles array<long>, map array<long>")
+    shingles = stored(shingles, "shingles")
+    lone = (
+        shingles.select("id", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle")
+        .agg(F.min("id").alias("id"), F.count("*").alias("sets"))
+        .filter("sets = 1")
+    )
+    own = lone.groupBy("id").agg(F.count("*").alias("lone"))
+    maps = shingles.select("id", "map").join(own, "id", "left")
+    found = open_.drop("map").join(maps, "id", "left")
+    return found.withColumn("own", F.coalesce("lone", F.lit(0).cast("long"))).drop("lone")
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            sets = shingle_sets(batch.column("text"))
+            maps = [parity_map(s) for s in sets]
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.array([s.view(np.int64) for s in sets], lists),
+                    pa.array(maps, lists),
+                ],
+                names=["id", "shingles", "map"],
+            )
+
+
+def parity_map(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each residue, set if an odd number of shingles have it.
+
+    Shingles that two sets share cancel out: the maps differ in at most as many bits as
+    there are shingles in just one of the sets.
+    """
+    spots = (shingles >> np.uint64(7)) % np.uint64(64 * LANES)
+    odd = (np.bincount(spots.astype(np.int64), minlength=64 * LANES) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
 def _confirmed(docs: DataFrame, pairs: DataFrame, share: int) -> DataFrame:
     """The pairs that hold on full sets. Only texts that stand in a pair are moved."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
