@@ -26,7 +26,7 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _SPELLING = {
     b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)
 }
-_MOST_FRAGMENTS, _MOST_CHARACTERS = 250_000, 8_000_000
+_MOST_FRAGMENTS, _MOST_CHARACTERS = 120_000, 4_000_000
 _encoders: dict[str, FragmentEncoder] = {}
 
 

@@ -30,7 +30,7 @@ from headway.llm.wordbytes import RUNS, mix, slices, text_bytes, token_hashes
 BUCKETS, WIDTH, WINDOW, MARKS = 1 << 13, 32, 2, 2
 _AGAIN = np.uint64(0xA6A1)
 # Labelled rows the network is fitted on, at most; a hash picks them beyond it.
-MOST_LABELLED = 200_000
+MOST_LABELLED = 50_000
 
 
 def _tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
