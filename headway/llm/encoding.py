@@ -26,18 +26,18 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _SPELLING = {
     b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)
 }
-_MOST_FRAGMENTS, _MOST_CHARACTERS = 120_000, 4_000_000
-_encoders: dict[str, FragmentEncoder] = {}
+_encoders: dict[tuple[str, int], FragmentEncoder] = {}
 
 
 class FragmentEncoder:
     """Encodes lists of texts to little-endian unsigned 32-bit ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_fragments: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._most = most_fragments
         self._known: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
         self._characters = 0
@@ -53,7 +53,7 @@ class FragmentEncoder:
         cut = [_fragments(t) for t in texts]
         known = self._known
         new = set(chain.from_iterable(cut)).difference(known)
-        if len(known) + len(new) > _MOST_FRAGMENTS or self._characters > _MOST_CHARACTERS:
+        if len(known) + len(new) > self._most or self._characters > 32 * self._most:
             self._old, self._known, self._characters = known, {}, 0
             known = self._known
             new = set(chain.from_iterable(cut))
@@ -66,12 +66,17 @@ class FragmentEncoder:
         for fragment in new:
             if (ids := old(fragment)) is None:
                 word = fragment.rstrip(_ENDINGS)
-                ids = self._word(word)
+                if len(word) == len(fragment):
+                    ids = self._word(word)
+                elif (ids := known.get(word) or old(word) or self._word(word)) is not None:
+                    if not _LETTERS(word):
+                        ids = None
+                    else:
+                        known[word] = ids
+                        ids += self._ending(fragment[len(word) :])
                 if ids is None:
                     rest.append(fragment)
                     continue
-                if len(word) < len(fragment):
-                    ids += self._ending(fragment[len(word) :])
             known[fragment] = ids
         self._characters += sum(map(len, new))
         for at in range(0, len(rest), 1024):
@@ -108,8 +113,12 @@ def _fragments(text: str) -> list[str]:
     return text.replace(" ", "\0 ").split("\0")
 
 
-def encoder(path: str) -> FragmentEncoder:
-    """The encoder of a tokenizer file, kept for the life of the worker process."""
-    if path not in _encoders:
-        _encoders[path] = FragmentEncoder(path)
-    return _encoders[path]
+def encoder(path: str, most_fragments: int = 250_000) -> FragmentEncoder:
+    """The encoder of a tokenizer file, kept for the life of the worker process.
+
+    Two generations of `most_fragments` take some fifty megabytes for each 100,000.
+    """
+    key = (path, most_fragments)
+    if key not in _encoders:
+        _encoders[key] = FragmentEncoder(path, most_fragments)
+    return _encoders[key]

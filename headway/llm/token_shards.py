@@ -64,7 +64,8 @@ def write_token_shards(
 def _encoded(tokenizer: str, end_id: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
-        encode = encoder(tokenizer).encode
+        # Payloads are sorted beside the encoder; it gets less of the memory.
+        encode = encoder(tokenizer, 120_000).encode
         for whole in batches:
             for batch in slices(whole, "text"):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
