@@ -16,7 +16,7 @@ from headway.llm.order_minhash import fingerprint_documents, fingerprint_text, l
 from headway.llm.packing import number_sequences, pack_documents
 from headway.llm.quality import fit_quality, score_quality
 from headway.llm.secret_scan import find_secrets
-from headway.llm.token_shards import read_documents, widened, write_token_shards
+from headway.llm.token_shards import read_documents, write_token_shards
 from headway.llm.topk import top_k
 from headway.llm.url_templates import judge_urls
 from headway.session import new_folder
@@ -87,28 +87,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents.groupBy(F.col("doc_id").alias("key")).count()
     copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1))
     found = read_documents(spark, folder, rows.select("key", copies.alias("copy")))
-    return found.mapInArrow(_widened, "doc_id long, start long, ids binary").select(
-        "doc_id",
+    return found.select(
+        F.col("key").alias("doc_id"),
         "start",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"),
     )
 
 
-def _widened(batches):
-    import pyarrow as pa
-
-    for batch in batches:
-        ids = [
-            widened(x.as_py(), w.as_py())
-            for x, w in zip(batch.column("ids"), batch.column("width"), strict=True)
-        ]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), batch.column("start"), pa.array(ids, pa.binary())],
-            names=["doc_id", "start", "ids"],
-        )
-
-
 @registered("op5_order_minhash")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprint_documents(_table(spark, sf_dir, "documents"))

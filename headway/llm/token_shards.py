@@ -260,8 +260,8 @@ def read_documents(spark: SparkSession, folder: str, keys: DataFrame) -> DataFra
     """Look keys up in the index and fetch their ids.
 
     keys: distinct (key long, copy long); copy is 0 unless rows repeat a key. Returns key,
-    copy, start (ids of all documents before it), ids (bytes as stored) and width; a row for
-    every key that is there.
+    copy, start (ids of all documents before it) and ids (little-endian, four bytes each,
+    whatever the stored width); a row for every key that is there.
     """
     index = spark.read.parquet(f"{folder}/index")
     parts = index.agg(F.max("parts").alias("n")).first()["n"]
@@ -305,7 +305,7 @@ def read_documents(spark: SparkSession, folder: str, keys: DataFrame) -> DataFra
     blocks = payload.join(asked, ["shard", "block"]).join(starts, "shard")
     return blocks.select(
         "width", (F.col("shard_start") + F.col("ids_before")).alias("before"), "lengths", "payload", "asked"
-    ).mapInArrow(_cut, "key long, copy long, start long, ids binary, width int")
+    ).mapInArrow(_cut, "key long, copy long, start long, ids binary")
 
 
 _FOUND_ARROW = pa.schema(
@@ -325,8 +325,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([a["key"] for a in asked], pa.int64()),
                     pa.array([a["copy"] for a in asked], pa.int64()),
                     pa.array([before + int(s) for s, _ in spans], pa.int64()),
-                    pa.array([payload[s * width : e * width] for s, e in spans], pa.binary()),
-                    pa.array([width] * len(asked), pa.int32()),
+                    pa.array(
+                        [widened(payload[s * width : e * width], width) for s, e in spans],
+                        pa.binary(),
+                    ),
                 ],
-                names=["key", "copy", "start", "ids", "width"],
+                names=["key", "copy", "start", "ids"],
             )
