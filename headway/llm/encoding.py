@@ -1,8 +1,7 @@
 """Token ids of whole texts by a public tokenizer file, a fragment at a time.
 
-A text is cut before every space that follows a non-space, and around line feeds that have
-no other white space beside them; both tokenizer kinds used here never join characters over
-such a place, nor a letter with punctuation after it.
+A text is cut before every space that follows a non-space; both tokenizer kinds used
+here never join characters over such a place, nor a letter with punctuation after it.
 Fragments repeat a lot, so each is encoded once and then looked up. The table of fragments
 is kept in two generations: when the young one is full the old one goes. That changes the
 time, never the ids.
@@ -15,14 +14,18 @@ import re
 from array import array
 from itertools import chain
 
-import numpy as np
-
-_SPACES = re.compile(r"\s\s")
+_SPACES = re.compile(r"\s ")
 _PLACES = re.compile(r"(?<=\S)(?= )")
 # Punctuation that ends words; both tokenizers cut between a letter and a run of it.
 _ENDINGS = ".,;:!?)%*#$&"
 # Letters of Latin-1: single code points that lower-casing and NFC leave single.
 _LETTERS = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+# Byte-level tokenizers spell a byte by its printable Latin-1 character, and the others, in
+# order, by the code points from 256.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_SPELLING = {
+    b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)
+}
 _encoders: dict[tuple[str, int], FragmentEncoder] = {}
 
 
@@ -39,17 +42,12 @@ class FragmentEncoder:
         self._old: dict[str, bytes] = {}
         self._characters = 0
         self._endings: dict[str, bytes] = {}
-        # A lower-casing tokenizer drops the space and marks where a word ends; the other one
-        # spells the space as a letter. Of any other kind no words are taken together.
+        self._tokenize = self._tokenizer.model.tokenize
+        # A lower-casing tokenizer drops the space, the other one spells it as a letter.
         probe = self._tokenizer.encode(" A", add_special_tokens=False).tokens
         self._lowers = probe == ["a</w>"]
-        self._spaces = probe == ["\u0120A"]
-        vocabulary = self._tokenizer.get_vocab()
-        self._first = np.zeros(max(vocabulary.values()) + 1, bool)
-        self._last = np.zeros_like(self._first)
-        for token, number in vocabulary.items():
-            self._first[number] = token.startswith("\u0120")
-            self._last[number] = token.endswith("</w>")
+        if not self._lowers and probe != ["\u0120A"]:
+            self._word = lambda word: None
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [_fragments(t) for t in texts]
@@ -64,61 +62,41 @@ class FragmentEncoder:
 
     def _learn(self, new: set[str]) -> None:
         """Add fragments: from the old generation, by word and ending, or encoded whole."""
-        known, old = self._known, self._old.get
-        words, ended, rest = set(), [], []
+        known, old, rest = self._known, self._old.get, []
         for fragment in new:
-            if (ids := old(fragment)) is not None:
-                known[fragment] = ids
-                continue
-            word = fragment.rstrip(_ENDINGS)
-            if not _LETTERS(word):
-                rest.append(fragment)
-                continue
-            if len(word) < len(fragment):
-                ended.append((fragment, word))
-            if word not in known:
-                if (ids := old(word)) is not None:
-                    known[word] = ids
-                else:
-                    words.add(word)
-        self._learn_words(words, rest)
+            if (ids := old(fragment)) is None:
+                word = fragment.rstrip(_ENDINGS)
+                if len(word) == len(fragment):
+                    ids = self._word(word)
+                elif (ids := known.get(word) or old(word) or self._word(word)) is not None:
+                    if not _LETTERS(word):
+                        ids = None
+                    else:
+                        known[word] = ids
+                        ids += self._ending(fragment[len(word) :])
+                if ids is None:
+                    rest.append(fragment)
+                    continue
+            known[fragment] = ids
+        self._characters += sum(map(len, new))
         for at in range(0, len(rest), 1024):
             some = rest[at : at + 1024]
             done = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
             for fragment, encoding in zip(some, done, strict=True):
                 known[fragment] = array("I", encoding.ids).tobytes()
-        for fragment, word in ended:
-            known[fragment] = known[word] + self._ending(fragment[len(word) :])
-        self._characters += sum(map(len, new))
 
-    def _learn_words(self, words: set[str], rest: list[str]) -> None:
-        """Encode Latin words a thousand together; `rest` gets those it can't tell apart.
+    def _word(self, word: str) -> bytes | None:
+        """Ids of Latin letters, with or without a space before them; of nothing else.
 
-        The tokenizers cut between such words, and their tokens show where: by the space that
-        begins a word, or by the mark at its end.
+        Such a word is what the tokenizer itself would hand to its model.
         """
+        if not _LETTERS(word):
+            return None
         if self._lowers:
-            together, glue = list(words), " "
-        elif self._spaces:
-            together, glue = [w for w in words if w[0] == " "], ""
-            rest.extend(w for w in words if w[0] != " ")
-        else:
-            together, glue = [], ""
-            rest.extend(words)
-        for at in range(0, len(together), 1024):
-            some = together[at : at + 1024]
-            (done,) = self._tokenizer.encode_batch_fast([glue.join(some)], add_special_tokens=False)
-            ids = np.array(done.ids, "<u4")
-            if self._lowers:
-                edges = [0, *(np.flatnonzero(self._last[ids]) + 1).tolist()]
-            else:
-                edges = [*np.flatnonzero(self._first[ids]).tolist(), len(ids)]
-            if len(edges) != len(some) + 1:
-                rest.extend(some)
-                continue
-            body = ids.tobytes()
-            for word, start, end in zip(some, edges, edges[1:]):
-                self._known[word] = body[4 * start : 4 * end]
+            word = word.lstrip(" ").lower()
+        if not (word.isascii() and word[0] != " "):
+            word = word.encode().decode("latin-1").translate(_SPELLING)
+        return array("I", [t.id for t in self._tokenize(word)]).tobytes()
 
     def _ending(self, ending: str) -> bytes:
         if ending not in self._endings:
@@ -132,7 +110,7 @@ class FragmentEncoder:
 def _fragments(text: str) -> list[str]:
     if "\0" in text or _SPACES.search(text):
         return _PLACES.split(text)
-    return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
+    return text.replace(" ", "\0 ").split("\0")
 
 
 def encoder(path: str, most_fragments: int = 250_000) -> FragmentEncoder:
