@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.operators.picking import top_row
@@ -126,15 +126,39 @@ def route_match_examples(matches: DataFrame, matched: bool, limit: int = 10) ->
     )
 
 
-def vehicle_changes(vehicles: DataFrame, step_seconds: int) -> DataFrame:
-    """Each vehicle against itself ``step_seconds`` earlier.
+def consecutive_snapshots(vehicles: DataFrame) -> DataFrame:
+    """Snapshot times with the time before, the seconds between and both totals.
 
-    ``vehicles`` has one row per snapshot time (epoch seconds) and vehicle.
+    One row per snapshot time but the first; vehicles are counted before the
+    few times meet in one task.
+    """
+    counted = (
+        vehicles.filter("feed_timestamp is not null")
+        .groupBy("feed_timestamp")
+        .agg(F.count("*").alias("vehicles_now"))
+    )
+    in_time = Window.orderBy("feed_timestamp")
+    paired = counted.withColumns(
+        {
+            "previous_timestamp": F.lag("feed_timestamp").over(in_time),
+            "vehicles_before": F.lag("vehicles_now").over(in_time),
+        }
+    )
+    delta = F.col("feed_timestamp") - F.col("previous_timestamp")
+    return paired.filter("previous_timestamp is not null").withColumn("feed_delta_seconds", delta)
+
+
+def vehicle_changes(vehicles: DataFrame) -> DataFrame:
+    """Each vehicle against itself in the snapshot before, however long ago.
+
+    ``vehicles`` has one row per snapshot time (epoch seconds) and vehicle. A
+    vehicle that one of the two snapshots lacks has no row.
     """
     values = ["trip_id", "route_id", "latitude", "longitude", "vehicle_timestamp"]
-    after = vehicles.select("feed_timestamp", "vehicle_id", *values)
+    pairs = consecutive_snapshots(vehicles).select("feed_timestamp", "previous_timestamp")
+    after = vehicles.select("feed_timestamp", "vehicle_id", *values).join(pairs, "feed_timestamp")
     before = vehicles.select(
-        (F.col("feed_timestamp") + step_seconds).alias("feed_timestamp"),
+        F.col("feed_timestamp").alias("previous_timestamp"),
         "vehicle_id",
         *[F.col(name).alias(f"previous_{name}") for name in values],
     )
@@ -142,26 +166,45 @@ def vehicle_changes(vehicles: DataFrame, step_seconds: int) -> DataFrame:
     def differs(name: str) -> Column:
         return ~F.col(name).eqNullSafe(F.col(f"previous_{name}"))
 
-    return after.join(before, ["feed_timestamp", "vehicle_id"]).select(
-        "*",
+    return after.join(before, ["previous_timestamp", "vehicle_id"]).select(
+        "feed_timestamp",
+        "previous_timestamp",
+        "vehicle_id",
+        *values,
+        *[f"previous_{name}" for name in values],
         (differs("latitude") | differs("longitude")).alias("position_changed"),
         differs("vehicle_timestamp").alias("timestamp_changed"),
     )
 
 
-def feed_freshness(changes: DataFrame) -> DataFrame:
-    """Per snapshot: how many vehicles moved on since the one before."""
-    common = F.count("*")
+def feed_freshness(vehicles: DataFrame) -> DataFrame:
+    """Per snapshot but the first: how many vehicles moved on since the one before.
+
+    Snapshots without a common vehicle have a row too, with counts of zero.
+    """
     updated = F.count(F.when(F.col("position_changed") | F.col("timestamp_changed"), 1))
-    moved = F.count(F.when(F.col("position_changed"), 1))
-    retimed = F.count(F.when(F.col("timestamp_changed"), 1))
-    return changes.groupBy("feed_timestamp").agg(
-        common.alias("vehicles_in_both"),
+    by_time = vehicle_changes(vehicles).groupBy("feed_timestamp").agg(
+        F.count("*").alias("vehicles_in_both"),
         updated.alias("updated_vehicles"),
-        moved.alias("position_changes"),
-        retimed.alias("timestamp_changes"),
-        _rate(updated, common).alias("updated_pct"),
-        _rate(moved, common).alias("position_pct"),
+        F.count(F.when(F.col("position_changed"), 1)).alias("position_changes"),
+        F.count(F.when(F.col("timestamp_changed"), 1)).alias("timestamp_changes"),
+    )
+    counts = by_time.columns[1:]
+    common = F.col("vehicles_in_both")
+    return (
+        consecutive_snapshots(vehicles)
+        .join(by_time, "feed_timestamp", "left")
+        .fillna(0, counts)
+        .select(
+            "feed_timestamp",
+            "previous_timestamp",
+            "feed_delta_seconds",
+            "vehicles_before",
+            "vehicles_now",
+            *counts,
+            _rate(F.col("updated_vehicles"), common).alias("updated_pct"),
+            _rate(F.col("position_changes"), common).alias("position_pct"),
+        )
     )
 
 

@@ -114,6 +114,8 @@ def canonical_snapshots(rows: DataFrame) -> DataFrame:
         F.col("seconds_from_reported_arrival").asc(),
         F.col("feed_timestamp").desc(),
         *(F.col(name).asc_nulls_last() for name in _REPORTED[2:] + _REPORTED[:2]),
+        # Rows of a timetable that repeats a stop differ only in these.
+        *(F.col(name).asc_nulls_last() for name in rows.columns if name in _CONTEXT + _SCHEDULE),
     ]
     return top_row(measured, EVENT_KEY, order)
 

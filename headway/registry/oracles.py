@@ -86,7 +86,7 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
     "raw_trips": (f"select {_pick(t.TRIPS)} from orders", []),
     "raw_stop_times": (
         f"select {_pick(t.STOP_TIMES)} from"
-        f" (select distinct l_orderkey, l_linenumber from lineitem where {t.SCHEDULED})",
+        " (select distinct l_orderkey, l_linenumber from lineitem)",
         [],
     ),
     "raw_stops": (f"select {_pick(t.STOPS)} from supplier", []),
@@ -371,7 +371,7 @@ _CHECKED = {
     "routes": "routes",
     "trips": "raw_trips",
     "stop_events": "all_stop_events",
-    "stops": "(select * from raw_stops where stop_lat is not null)",
+    "stops": f"(select {', '.join(t.CHECKED_STOPS)} from raw_stops)",
     "realtime_stop_events": "realtime",
 }
 _CHECKED_READS = ["routes", "raw_trips", "all_stop_events", "raw_stops", "realtime"]
@@ -506,11 +506,19 @@ _SORT = (
     " lower(regexp_replace(route_short_name, '^[0-9]+', '')), route_id"
 )
 _CHANGES = (
-    "select a.feed_timestamp, a.vehicle_id,"
+    "select a.feed_timestamp, p.previous_timestamp, a.vehicle_id, a.vehicle_timestamp,"
     " (a.latitude is distinct from b.latitude or a.longitude is distinct from b.longitude) as moved,"
     " a.vehicle_timestamp is distinct from b.vehicle_timestamp as retimed"
-    " from latest a join latest b on a.vehicle_id = b.vehicle_id"
-    " and a.feed_timestamp = b.feed_timestamp + 86400"
+    " from latest a join snapshots p on a.feed_timestamp = p.feed_timestamp"
+    " join latest b on a.vehicle_id = b.vehicle_id"
+    " and b.feed_timestamp = p.previous_timestamp"
+)
+# The snapshot before is the latest time below, found by a join on that.
+_SNAPSHOTS = (
+    "select a.feed_timestamp, max(b.feed_timestamp) as previous_timestamp"
+    " from (select distinct feed_timestamp from latest) a"
+    " join (select distinct feed_timestamp from latest) b on b.feed_timestamp < a.feed_timestamp"
+    " group by a.feed_timestamp"
 )
 _LATEST = (
     "select * exclude (rn) from (select *, row_number() over (partition by feed_timestamp,"
@@ -520,6 +528,8 @@ _LATEST = (
 # Every vehicle is followed, whether it is on the board or not.
 _FOLLOWED = "(select distinct vehicle_id from vehicles)"
 VIEWS["latest"] = (_LATEST, ["vehicles"])
+VIEWS["snapshots"] = (_SNAPSHOTS, ["latest"])
+VIEWS["changes"] = (_CHANGES, ["latest", "snapshots"])
 VIEWS["followed"] = (
     f"select b.* from live_board b join {_FOLLOWED} f on b.vehicle_id = f.vehicle_id",
     ["live_board", "vehicles"],
@@ -816,15 +826,30 @@ def oracle_queries() -> dict[str, str]:
             "vehicles",
         ),
         "feed_freshness": query(
-            "select feed_timestamp, count(*) as vehicles_in_both,"
+            "select p.feed_timestamp, p.previous_timestamp,"
+            " p.feed_timestamp - p.previous_timestamp as feed_delta_seconds,"
+            " (select count(*) from latest l where l.feed_timestamp = p.previous_timestamp)"
+            " as vehicles_before,"
+            " (select count(*) from latest l where l.feed_timestamp = p.feed_timestamp)"
+            " as vehicles_now,"
+            " count(c.vehicle_id) as vehicles_in_both,"
             " count(case when moved or retimed then 1 end) as updated_vehicles,"
             " count(case when moved then 1 end) as position_changes,"
             " count(case when retimed then 1 end) as timestamp_changes,"
-            f" {half_up_1('100 * count(case when moved or retimed then 1 end)', 'count(*)')}"
+            f" {half_up_1('100 * count(case when moved or retimed then 1 end)', 'count(c.vehicle_id)')}"
             " as updated_pct,"
-            f" {half_up_1('100 * count(case when moved then 1 end)', 'count(*)')} as position_pct"
-            f" from ({_CHANGES}) group by feed_timestamp",
+            f" {half_up_1('100 * count(case when moved then 1 end)', 'count(c.vehicle_id)')}"
+            " as position_pct"
+            " from snapshots p left join changes c on p.feed_timestamp = c.feed_timestamp"
+            " group by p.feed_timestamp, p.previous_timestamp",
             "latest",
+            "snapshots",
+            "changes",
+        ),
+        "change_examples": query(
+            "select feed_timestamp, previous_timestamp, vehicle_id, vehicle_timestamp"
+            " from changes where moved or retimed order by feed_timestamp, vehicle_id limit 10",
+            "changes",
         ),
         "feed_overlap": query(
             "select count(v) as vehicle_trips, count(u) as update_trips,"
@@ -935,7 +960,7 @@ def oracle_queries() -> dict[str, str]:
         ),
         "stream_latest_vehicles": query(
             "select vehicle_id, trip_id, latitude, longitude, vehicle_timestamp from (select *,"
-            " row_number() over (partition by vehicle_id order by vehicle_timestamp desc,"
+            " row_number() over (partition by vehicle_id order by feed_timestamp desc,"
             " entity_index desc) as rn from vehicles) where rn = 1",
             "vehicles",
         ),

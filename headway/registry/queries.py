@@ -288,9 +288,16 @@ _over(t.vehicles, feeds.missing_trip_profile, "missing_trip_profile")
 _over(t.vehicles, feeds.missing_trip_examples, "missing_trip_examples")
 _over(
     t.vehicles,
-    lambda df: feeds.feed_freshness(feeds.vehicle_changes(vehicles_by_id(df), 86400)),
+    lambda df: feeds.feed_freshness(vehicles_by_id(df)),
     "feed_freshness",
 )
+_over(
+    t.vehicles,
+    lambda df: feeds.change_examples(feeds.vehicle_changes(vehicles_by_id(df))).select(
+        "feed_timestamp", "previous_timestamp", "vehicle_id", "vehicle_timestamp"
+    ),
+    "change_examples",
+)
 
 
 @registered("feed_overlap")

@@ -79,14 +79,15 @@ TRIPS = [
 ]
 STOP_TIMES = [
     "l_orderkey as trip_id",
-    f"{_STOP} as stop_id",
+    # One stop in thirteen is another one than the feed reports.
+    "case when (l_orderkey + l_linenumber) % 13 = 0"
+    f" then (l_orderkey * 7 + l_linenumber + 1) % {{stops}} else {_STOP} end as stop_id",
     "l_linenumber as stop_sequence",
     f"case when (l_orderkey + l_linenumber) % 29 = 0 then '' else {_clock(_SECONDS)} end"
     " as arrival_time",
     f"case when (l_orderkey + l_linenumber) % 31 = 0 then null"
     f" else {_clock(f'({_SECONDS} + 60)')} end as departure_time",
 ]
-SCHEDULED = "(l_orderkey + l_linenumber) % 13 <> 0"
 STOPS = [
     "s_suppkey as stop_id",
     "s_name as stop_name",
@@ -97,6 +98,11 @@ STOPS = [
     "'P' || cast(s_nationkey as string) as parent_station",
     "cast(s_suppkey % 10 as string) as platform_code",
 ]
+# Stops for the quality checks: those without a place have an id nobody uses.
+CHECKED_STOPS = [
+    "case when stop_lat is null then -1 - stop_id else stop_id end as stop_id",
+    *(text.rsplit(" as ", 1)[1] for text in STOPS[1:]),
+]
 # A feed row; times are epoch seconds. An id that is no number and an unknown
 # stop occur too.
 REALTIME = [
@@ -117,7 +123,9 @@ REALTIME = [
     "date '2024-01-01' + cast({service_day} as int) as start_date",
 ]
 VEHICLES = [
-    "{event_epoch} - {event_epoch} % 86400 as feed_timestamp",
+    # A snapshot a day, some of them late: intervals differ.
+    "{event_epoch} - {event_epoch} % 86400"
+    " + cast(floor({event_epoch} / 86400) as bigint) % 3 * 7 as feed_timestamp",
     "event_id as entity_index",
     "cast(user_id as string) as vehicle_id",
     "case when event_type = 'error' then null else cast((event_id * 7) % {orders} as string)"
@@ -170,12 +178,7 @@ def _size(spark: SparkSession, sf_dir: str, name: str) -> int:
 
 
 def raw_timetable(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .filter(SCHEDULED)
-        .select("l_orderkey", "l_linenumber")
-        .distinct()
-    )
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
     names = {"stops": _size(spark, sf_dir, "supplier")}
     return {
         "routes": table(spark, sf_dir, "customer").selectExpr(*ROUTES),
@@ -240,7 +243,7 @@ def checked_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Tables with faults for the quality checks: unscoped children next to
     scoped parents, and an undeduplicated history."""
     full = silver(spark, sf_dir)
-    return {**full, "stops": full["stops"].filter("stop_lat is not null")}
+    return {**full, "stops": full["stops"].selectExpr(*CHECKED_STOPS)}
 
 
 def vehicles(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:

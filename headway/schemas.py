@@ -55,6 +55,15 @@ TIMETABLE = {
     ),
 }
 
+# Columns that the public format leaves optional. A file without
+# one of them reads as NULL there.
+OPTIONAL_COLUMNS = {
+    "routes": ("agency_id", "route_short_name", "route_long_name"),
+    "trips": ("trip_headsign", "direction_id", "shape_id"),
+    "stop_times": (),
+    "stops": ("location_type", "parent_station", "platform_code"),
+}
+
 # Flattened stop updates before typing (epochs and raw dates) and after.
 RAW_OBSERVATION = StructType(
     [

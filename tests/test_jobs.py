@@ -69,6 +69,18 @@ def test_missing_column_is_named(spark, folder):
         read_timetable(spark, folder, "trips")
 
 
+def test_optional_columns_may_be_absent(spark, folder):
+    os.makedirs(folder)
+    with open(f"{folder}/stops.txt", "w") as file:
+        file.write("stop_id,stop_name,stop_lat,stop_lon\n1,A,59.0,18.0\n")
+    row = read_timetable(spark, folder, "stops").first()
+    assert (row.stop_id, row.stop_name, row.platform_code, row.location_type) == (1, "A", None, None)
+    with open(f"{folder}/trips.txt", "w") as file:
+        file.write("route_id,trip_id\n1,2\n")
+    some = read_timetable(spark, folder, "trips", ["trip_id", "trip_headsign"])
+    assert [tuple(r) for r in some.collect()] == [(2, None)]
+
+
 def test_static_job(spark, timetable, catalog):
     tables = run_static(spark, timetable, catalog)
     modes = {r.route_id: r.transport_mode for r in tables["routes"].collect()}

@@ -147,9 +147,10 @@ def test_feed_inspection(spark):
     profile = {r.feed_timestamp: tuple(r)[1:] for r in inspect.missing_trip_profile(loose).collect()}
     assert profile == {100: (4, 3, 1, 25.0), 110: (3, 2, 1, 33.3)}
     assert [r.vehicle_id for r in inspect.missing_trip_examples(loose).collect()] == ["b", "b"]
-    changes = inspect.vehicle_changes(flatten.vehicles_by_id(loose), 10)
-    fresh = inspect.feed_freshness(changes).collect()
-    assert [tuple(r) for r in fresh] == [(110, 3, 2, 1, 1, 66.7, 33.3)]
+    by_id = flatten.vehicles_by_id(loose)
+    changes = inspect.vehicle_changes(by_id)
+    fresh = inspect.feed_freshness(by_id).collect()
+    assert [tuple(r) for r in fresh] == [(110, 100, 10, 4, 3, 3, 2, 1, 1, 66.7, 33.3)]
     assert [r.vehicle_id for r in inspect.change_examples(changes).collect()] == ["b", "c"]
 
     updates = decode_feed(payloads(spark, feed(110, trip("11", stop(1), stop(2)), trip("50"))))
@@ -168,6 +169,20 @@ def test_feed_inspection(spark):
     assert inspect.route_match_examples(matches, True).count() == 2
 
 
+def test_freshness_of_irregular_snapshots(spark):
+    feeds = [
+        feed(1000, vehicle("a", "11"), vehicle("b", "12")),
+        feed(1011, vehicle("a", "11", position=(1.0, 2.0))),
+        feed(1020, vehicle("b", "12")),
+    ]
+    rows = flatten.vehicle_rows(decode_feed(payloads(spark, *feeds)))
+    fresh = inspect.feed_freshness(flatten.vehicles_by_id(rows)).orderBy("feed_timestamp")
+    assert [tuple(r) for r in fresh.collect()] == [
+        (1011, 1000, 11, 2, 1, 1, 1, 1, 0, 100.0, 100.0),
+        (1020, 1011, 9, 1, 1, 0, 0, 0, 0, None, None),
+    ]
+
+
 def rows_of(df):
     return sorted(map(repr, df.collect()))
 
