@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from headway.constants import DEFAULT_STATUS
 from headway.functions import compact_date
 from headway.operators.picking import keep_last
+from headway.schemas import OBSERVATION
 
 
 def _entities(feed: DataFrame, part: str) -> DataFrame:
@@ -63,7 +64,7 @@ def typed_observations(rows: DataFrame) -> DataFrame:
         "departure_delay_seconds",
         F.timestamp_seconds("feed_timestamp").alias("feed_timestamp"),
         compact_date(F.col("start_date")).alias("start_date"),
-    )
+    ).to(OBSERVATION)
 
 
 def vehicle_rows(

@@ -476,4 +476,4 @@ def _stream_board(spark: SparkSession, sf_dir: str) -> DataFrame:
             checkpoint,
         )
     )
-    return stream_live.read_last_batch(spark, rows)
+    return stream_live.read_last_batch(spark, rows).drop("board_time")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 # Names of the five source tables.
@@ -84,8 +85,12 @@ class FolderCatalog(Catalog):
         return self.spark.read.format(self.fmt).load(self.name(table))
 
     def exists(self, table: str) -> bool:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.name(table))
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+        try:
+            return bool(self.read(table).schema)
+        except AnalysisException as problem:
+            if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
 
     def _save(self, writer: DataFrameWriter, table: str) -> None:
         writer.save(self.name(table))

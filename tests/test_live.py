@@ -190,8 +190,10 @@ def rows_of(df):
 def test_vehicle_streams(spark, folder):
     trips, routes, times, stops = network(spark)
     feeds = [
-        feed(1, vehicle("a", "11", timestamp=1), vehicle("b", "13", timestamp=1)),
-        feed(2, vehicle("a", "12", timestamp=2), vehicle("c", "999", timestamp=2)),
+        feed(2, vehicle("a", "11", timestamp=9), vehicle("b", "13", timestamp=1)),
+        feed(3, vehicle("a", "12", timestamp=2), vehicle("c", "999", timestamp=2)),
+        # Older than what is known by then.
+        feed(1, vehicle("a", "13", timestamp=30), vehicle("b", "11", timestamp=30)),
     ]
     source = f"{folder}/in"
     state, board_folder, known = f"{folder}/state", f"{folder}/board", f"{folder}/known"
