@@ -3,9 +3,9 @@
 A page becomes lines, one for each block of text, each with the zone of the page it stands
 in (the nearest enclosing container). Pages are put in order of host and url path; a page
 is compared with its neighbours of the same host there: their lines are aligned by longest
-common subsequence, and lines that are shared are template, not text. A zone in which
-sharing was seen is template as a whole, on all pages of the neighbourhood. Two things are
-known beforehand. Zones that markup itself names as furniture (menus, headers, footers,
+common subsequence, and lines that are shared are template, not text. A page loses the lines
+that it shares with a neighbour itself, and no others: what else stands in their zone stays,
+on this page and on others. Two things are known beforehand. Zones that markup itself names as furniture (menus, headers, footers,
 forms, adverts, comments ...) go even if no neighbour shows them. And the zone of the article
 (``article``, ``main``, or else the one with most text) is no template as a whole: copies of
 an article share its lines with their neighbours; nothing of it is deleted.
@@ -134,36 +134,42 @@ def _open(stack: list[tuple[str, str, int]], name: str, attributes: str) -> None
     stack.append((name, zone, known))
 
 
-def common_lines(one: list, other: list) -> set[int]:
-    """Places in `one` that a longest common subsequence of both aligns."""
+def aligned_lines(one: list, other: list) -> list[tuple[int, int]]:
+    """Places (in `one`, in `other`) that a longest common subsequence of both aligns."""
     first, ends = 0, (len(one), len(other))
     while first < min(ends) and one[first] == other[first]:
         first += 1
     last = 0
     while last < min(ends) - first and one[-1 - last] == other[-1 - last]:
         last += 1
-    shared = {*range(first), *range(len(one) - last, len(one))}
+    pairs = [(i, i) for i in range(first)]
+    pairs += [(len(one) - i, len(other) - i) for i in range(1, last + 1)]
     a, b = one[first : len(one) - last], other[first : len(other) - last]
     # Lines that the other side does not have at all cannot be aligned.
     in_b, in_a = set(b), set(a)
     left = [(i, x) for i, x in enumerate(a) if x in in_b]
-    right = [x for x in b if x in in_a]
+    right = [(j, y) for j, y in enumerate(b) if y in in_a]
     lengths = [[0] * (len(right) + 1)]
     for _, x in left:
         above, row = lengths[-1], [0]
-        for j, y in enumerate(right):
+        for j, (_, y) in enumerate(right):
             row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
         lengths.append(row)
     i, j = len(left), len(right)
     while i and j:
-        if left[i - 1][1] == right[j - 1]:
-            shared.add(first + left[i - 1][0])
+        if left[i - 1][1] == right[j - 1][1]:
+            pairs.append((first + left[i - 1][0], first + right[j - 1][0]))
             i, j = i - 1, j - 1
         elif lengths[i - 1][j] >= lengths[i][j - 1]:
             i -= 1
         else:
             j -= 1
-    return shared
+    return pairs
+
+
+def common_lines(one: list, other: list) -> set[int]:
+    """Places in `one` that a longest common subsequence of both aligns."""
+    return {i for i, _ in aligned_lines(one, other)}
 
 
 def _article_zone(lines: list[tuple[str, int, str]]) -> str | None:
@@ -177,28 +183,35 @@ def _article_zone(lines: list[tuple[str, int, str]]) -> str | None:
     return max(sizes, key=sizes.get) if sizes else None
 
 
+def _compared(lines: list[tuple[str, int, str]]) -> list[tuple[int, tuple[str, str]]]:
+    """Place and key of the lines that may be template: those of an article never are."""
+    return [(i, (z, t)) for i, (z, k, t) in enumerate(lines) if k != _ARTICLE]
+
+
+def _share(one: list, other: list, shared_one: set[int], shared_other: set[int]) -> None:
+    """Add the places of the lines that two pages share."""
+    for i, j in aligned_lines([k for _, k in one], [k for _, k in other]):
+        shared_one.add(one[i][0])
+        shared_other.add(other[j][0])
+
+
+def _main_text(lines: list[tuple[str, int, str]], shared: set[int]) -> str:
+    main = _article_zone(lines)
+    return " ".join(
+        text
+        for i, (zone, known, text) in enumerate(lines)
+        if known == _ARTICLE or zone == main or (known == _NONE and i not in shared)
+    )
+
+
 def difference(pages: list[list[tuple[str, int, str]]], reach: int) -> list[str]:
     """Texts of neighbouring pages of one host, in url order."""
-    # Lines of an article are never deleted, so they need no partner.
-    keys = [[(z, t) for z, k, t in lines if k != _ARTICLE] for lines in pages]
-    shared: list[set] = [set() for _ in pages]
+    keys = [_compared(lines) for lines in pages]
+    shared: list[set[int]] = [set() for _ in pages]
     for i in range(len(pages)):
         for j in range(i + 1, min(i + 1 + reach, len(pages))):
-            found = {keys[i][p] for p in common_lines(keys[i], keys[j])}
-            shared[i] |= found
-            shared[j] |= found
-    template = {z for found in shared for z, _ in found}
-    out = []
-    for lines, found in zip(pages, shared, strict=True):
-        main = _article_zone(lines)
-        keep = []
-        for zone, known, text in lines:
-            if known == _ARTICLE or zone == main:
-                keep.append(text)
-            elif known == _NONE and zone not in template and (zone, text) not in found:
-                keep.append(text)
-        out.append(" ".join(keep))
-    return out
+            _share(keys[i], keys[j], shared[i], shared[j])
+    return [_main_text(lines, found) for lines, found in zip(pages, shared, strict=True)]
 
 
 def extract_text(

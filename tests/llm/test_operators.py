@@ -296,6 +296,19 @@ def test_differencing_deletes_what_neighbours_share():
     ) == 4
 
 
+def test_differencing_keeps_lines_that_only_their_zone_shares():
+    def page(own):
+        items = "".join(f"<li>{x}</li>" for x in [*own, "See also"])
+        return f"<div class=content><p>{own[0] * 40}</p><ul>{items}</ul></div>"
+
+    owns = [(f"alpha{i} ", f"beta{i}") for i in range(3)]
+    texts = difference([page_lines(page(o)) for o in owns], 4)
+    assert texts == [f"{(a * 40).strip()} {a.strip()} {b}" for a, b in owns]
+    # Copies of one page say nothing of another page.
+    twins = [page_lines(page(owns[0]))] * 2 + [page_lines(page(("gamma ", "delta")))]
+    assert difference(twins, 4)[2].endswith("gamma delta")
+
+
 def test_network_without_both_labels():
     x = np.ones((5, 3))
     assert np.allclose(fit_network(x, np.ones(5)).scores(x), 0.999)
