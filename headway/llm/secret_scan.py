@@ -1,19 +1,22 @@
 """Secret scan: three fixed patterns, and novelty against primed zstandard.
 
-Beside the patterns, every long unbroken string that stands shortly after a sensitive
-word is a candidate. A zstandard compressor is primed with a dictionary of common
+Beside the patterns, every long unbroken string that stands shortly before or after a
+sensitive word, or holds one, is a candidate, whatever its characters. A zstandard compressor is primed with a dictionary of common
 identifiers and the text around the candidate; what the candidate adds to the
 compressed size, in bits per character, is its novelty. Words and identifiers that the
 surroundings or the dictionary explain compress away; keys do not, and are reported.
 
 Defined results: null and empty texts have no spans. Positions are code points, the end
-exclusive. Novel spans that touch a span of a pattern are not reported again.
+exclusive. Of a candidate that spans of patterns cover in part the rest is measured and
+reported; one that they cover whole is not reported again.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -28,13 +31,14 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "novel")
 
-# Sensitive words of the context, and the strings between them that are looked at.
+# Sensitive words of the context, and the strings near them that are looked at.
 CONTEXT = re.compile(
     r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api.?key|access.?key|private.?key|credential"
     r"|bearer|authorization|auth|client.?id|signature|connection.?string)",
     re.IGNORECASE | re.ASCII,
 )
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=~$!@%^*-]{12,}")
+LEAST = 12
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_.=~$!@%^*-]{{{LEAST},}}")
 
 # What code and configuration commonly contain; primes the compressor.
 IDENTIFIERS = (
@@ -75,26 +79,74 @@ def novelty(candidate: str, before: str, after: str) -> float:
     return 8.0 * added / len(body)
 
 
+def candidates(text: str, words: list[tuple[int, int]], reach: int) -> Iterator[tuple[int, int]]:
+    """Unbroken strings that come within `reach` characters of a word, or hold it."""
+    at = 0
+    for m in CANDIDATE.finditer(text):
+        a, b = m.span()
+        while at < len(words) and words[at][1] + reach < a:
+            at += 1
+        if at == len(words):
+            break
+        # Words do not overlap: none that follows begins before this one.
+        if words[at][0] - reach <= b:
+            yield a, b
+
+
+def free_parts(
+    a: int, b: int, taken: list[tuple[int, int, int]], ends: list[int]
+) -> Iterator[tuple[int, int]]:
+    """What base spans leave of a candidate; `ends` are the highest ends so far.
+
+    Behind a span every rest counts, it may be the end of a key, and so does one before a
+    key. What stands before an assignment is part of a name and counts if it is long.
+    """
+    start = a
+    for i in range(bisect_right(ends, a), len(taken)):
+        first, kind, last = taken[i]
+        if first >= b:
+            break
+        if first > start and (start > a or kind != 0 or first - start >= LEAST):
+            yield start, first
+        start = max(start, last)
+    if start < b:
+        yield start, b
+
+
 def novel_spans(
     text: str, taken: list[tuple[int, int, int]], reach: int, window: int, least_bits: float
 ) -> list[tuple[int, int, int]]:
-    """Candidates within `reach` characters after a sensitive word that are novel."""
-    found, seen = [], -1
-    for word in CONTEXT.finditer(text):
-        # A candidate may begin in reach and run on as far as it likes.
-        start = max(word.end(), seen)
-        while m := CANDIDATE.search(text, start, word.end() + reach + 12):
-            whole = CANDIDATE.match(text, m.start())
-            a, b = whole.span()
-            start = seen = b
-            if any(a < e and s < b for s, _, e in taken):
+    """Candidates near a sensitive word, on either side, that are novel.
+
+    What base spans cover of a candidate is theirs, the rest is looked at. A string is
+    measured whole; if it is not novel but holds sensitive words, also behind the first of
+    them and between them, since the words themselves are no novelty.
+    """
+    words = [m.span() for m in CONTEXT.finditer(text)]
+    starts = [w[0] for w in words]
+    ends = list(accumulate((e for _, _, e in taken), max))
+
+    def novel(a: int, b: int) -> bool:
+        before, after = text[max(0, a - window) : a], text[b : b + window]
+        return novelty(text[a:b], before, after) >= least_bits
+
+    found = []
+    for whole in candidates(text, words, reach):
+        for a, b in free_parts(*whole, taken, ends):
+            if novel(a, b):
+                found.append((a, 3, b))
                 continue
-            if not re.search(r"[0-9]", whole[0]) or not re.search(r"[A-Za-z]", whole[0]):
+            inside = words[bisect_left(starts, a) : bisect_left(starts, b)]
+            if not inside:
                 continue
-            before, after = text[max(0, a - window) : a], text[b : b + window]
-            if novelty(whole[0], before, after) >= least_bits:
-                found.append((a, 3, b))
-    return found
+            gaps = zip([a, *(e for _, e in inside)], [*(s for s, _ in inside), b], strict=True)
+            first, *others = [(s, e) for s, e in gaps]
+            rest = (others[0][0], b)
+            if rest[1] - rest[0] >= LEAST and novel(*rest):
+                others = []
+                found.append((rest[0], 3, b))
+            found += [(s, 3, e) for s, e in (first, *others) if e - s >= LEAST and novel(s, e)]
+    return sorted(found)
 
 
 def scan_text(

@@ -20,7 +20,7 @@ from headway.llm.minhash_dedup import parity_map, superminhash
 from headway.llm.packing import piece_lengths
 from headway.llm.queries import QUERIES
 from headway.llm.quality import fit_network
-from headway.llm.secret_scan import base_spans, scan_text
+from headway.llm.secret_scan import base_spans, redact, scan_text
 from headway.llm.token_shards import build_hash, key_hashes, slots_of
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -255,6 +255,25 @@ def test_novelty_finds_keys_and_leaves_words():
     assert base_spans("nothing here") == []
 
 
+def test_novelty_looks_at_every_candidate():
+    text = 'password="abcDEF1$k9Lm2Qw8!zX"'
+    assert scan_text(text) == [(0, 0, 17), (17, 3, 29)]
+    assert redact(text, scan_text(text)) == '[SECRET][SECRET]"'
+    prose = "the server of this service is described in the manual of the server. " * 5
+
+    def found(text):
+        whole = prose + text + prose
+        return [whole[a:b] for a, k, b in scan_text(whole) if k == 3]
+
+    # Letters only, digits only, and before the word.
+    assert found("credential QzkWvXpLmTrB is used. ") == ["QzkWvXpLmTrB"]
+    assert found("credential 830174659218 is used. ") == ["830174659218"]
+    assert found("use Xy9kQ2mLp0Zr7TnAA11 as credential. ") == ["Xy9kQ2mLp0Zr7TnAA11"]
+    # A sensitive word in the string does not hide what follows; names of values stay.
+    assert found("set secret_key=Xy9kQ2mLp0Zr7TnAA11 now. ")[0].endswith("Xy9kQ2mLp0Zr7TnAA11")
+    assert found("set db_password=hunter22 now. ") == []
+
+
 def test_encoder_equals_tokenizer():
     odd = ["a  b", "a \n b", " x ", "it's we'll a.b, c).", "a <|endoftext|>, b", "é, è. ß? İ.",
            "A\0b c", "日本語、 ab日,", "%%% ***a### b&&&&", "ÀÉ, ÿ× ÷a ýÞð.", "1,000 a1, b2."]
