@@ -2,7 +2,7 @@
 
 A page becomes lines, one for each block of text, each with the zone of the page it stands
 in (the nearest enclosing container). Pages are put in order of host and url path; a page
-is compared with its neighbours of the same host there: their lines are aligned by longest
+is compared with the four neighbours of the same host on either side of it there: their lines are aligned by longest
 common subsequence, and lines that are shared are template, not text. A page loses the lines
 that it shares with a neighbour itself, and no others: what else stands in their zone stays,
 on this page and on others. Two things are known beforehand. Zones that markup itself names as furniture (menus, headers, footers,
@@ -11,20 +11,26 @@ forms, adverts, comments ...) go even if no neighbour shows them. And the zone o
 an article share its lines with their neighbours; nothing of it is deleted.
 
 Defined results: null and empty pages, and pages without text, give an empty text. A page
-without neighbours of its host is judged by its markup alone. Rows that repeat a page are
-neighbours of each other and give the same text.
+without neighbours of its host is judged by its markup alone. Rows that repeat a page
+in id, url and content are one page and give the same text.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
+from bisect import bisect_right
+from collections import deque
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.llm.ordering import MOST_RANGES
 from headway.llm.url_templates import url_host, url_path
 
 # Names of HTML elements and of the roles that class and id attributes tell.
@@ -219,11 +225,12 @@ def extract_text(
 ) -> DataFrame:
     """page_id, url, text: the main text of each page.
 
-    Pages are range-partitioned by host and path, so that a hot host is spread over many
-    tasks and neighbours still meet; a task holds one run of pages of a host at a time, of
-    bounded number. Markup, in practice most of a page, is cut away before the shuffle.
+    Pages are dealt out by ranges of host and path, so that a hot host is spread over many
+    tasks. A range also gets the `reach` pages before and behind it, so that every page meets
+    all its neighbours wherever ranges end; a task holds `reach` pages at a time. Markup, in
+    practice most of a page, is cut away before the shuffle.
     """
-    count = partitions or int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    conf = pages.sparkSession.conf
     rows = pages.select(
         F.col("page_id"), F.col("url"), F.coalesce(F.col("html"), F.lit("")).alias("html")
     )
@@ -231,64 +238,202 @@ def extract_text(
     placed = rows.withColumn("host", url_host(F.col("url"))).withColumn(
         "path", url_path(F.col("url"))
     )
+    keys = placed.select(*_KEY)
+    n = keys.count()
+    # A range of few pages would mostly hold the pages around it.
+    most = 2 * int(conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(1, min(MOST_RANGES, partitions or min(most, n // _LEAST_PAGES)))
+    bounds = _bounds(keys, n, ranges)
+    copies = _copies(_edges(keys, bounds, reach, kind), reach)
     line = "array<struct<zone:string,known:int,text:string>>"
     cut = placed.mapInArrow(
-        _cut_pages, f"page_id {kind}, url string, host string, path string, lines {line}"
+        _cut_pages(bounds, copies),
+        f"part int, own boolean, mark long, page_id {kind}, url string, host string,"
+        f" path string, lines {line}",
     )
-    near = cut.repartitionByRange(count, "host", "path", "page_id", "url")
-    near = near.sortWithinPartitions("host", "path", "page_id", "url")
+    near = cut.repartition(ranges, "part") if partitions else cut.repartition("part")
+    near = near.sortWithinPartitions("part", *_KEY, "mark")
     return near.mapInArrow(_differences(reach), f"page_id {kind}, url string, text string")
 
 
+# The order of pages. Rows that agree in all of it are in one range.
+_KEY = ("host", "path", "page_id", "url")
+_LEAST_PAGES = 64
+
+
+def _ordered(row: tuple) -> tuple:
+    """A key that compares in Python as its columns do in Spark: nulls first."""
+    return tuple((x is not None, x) if x is not None else (False,) for x in row)
+
+
+def _bounds(keys: DataFrame, n: int, ranges: int) -> list[tuple]:
+    """Keys at which a new range begins, from a sample of 40 rows for each range at most."""
+    if ranges < 2:
+        return []
+    if n > 20 * ranges:
+        share = int((1 << 30) * 20 * ranges / n)
+        drawn = F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 30)) < share
+        # Hashes that repeat, as rows that repeat a page have, must not fill the driver.
+        keys = keys.filter(drawn).limit(40 * ranges)
+    sample = sorted({_ordered(r) for r in keys.collect()})
+    places = (len(sample) * i // ranges for i in range(1, ranges))
+    return sorted({sample[at] for at in places}) if sample else []
+
+
+def _edges(keys: DataFrame, bounds: list[tuple], reach: int, kind: str) -> list[tuple[int, tuple]]:
+    """(range, key) of the first and last `reach` different keys of each range."""
+    if not bounds:
+        return []
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns), strict=True)
+            part = pa.array([bisect_right(bounds, _ordered(r)) for r in rows], pa.int32())
+            yield pa.RecordBatch.from_arrays([part, *batch.columns], names=["part", *_KEY])
+
+    schema = f"part int, host string, path string, page_id {kind}, url string"
+    parts = keys.mapInArrow(place, schema).distinct()
+    found = set()
+    for order in (_KEY, tuple(F.col(k).desc() for k in _KEY)):
+        ranked = parts.withColumn(
+            "place", F.row_number().over(Window.partitionBy("part").orderBy(*order))
+        )
+        for row in ranked.filter(F.col("place") <= reach).drop("place").collect():
+            found.add((row["part"], _ordered(row[1:])))
+    return sorted(found)
+
+
+def _copies(edges: list[tuple[int, tuple]], reach: int) -> dict[tuple, list[int]]:
+    """The ranges, beside its own, that need the page of a key as a neighbour."""
+    out: dict[tuple, list[int]] = {}
+    for i in range(len(edges)):
+        part, key = edges[i]
+        if i == 0 or edges[i - 1][0] != part:
+            for _, other in edges[max(0, i - reach) : i]:
+                if other[0] == key[0]:
+                    out.setdefault(other, []).append(part)
+        if i + 1 == len(edges) or edges[i + 1][0] != part:
+            for _, other in edges[i + 1 : i + 1 + reach]:
+                if other[0] == key[0]:
+                    out.setdefault(other, []).append(part)
+    return out
+
+
 _LINES = pa.list_(
     pa.struct([("zone", pa.string()), ("known", pa.int32()), ("text", pa.string())])
 )
 
 
-def _cut_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["page_id", "url", "host", "path"]
-    for whole in batches:
-        for at in range(0, whole.num_rows, 256):
-            batch = whole.slice(at, 256)
-            lines = [
-                [{"zone": z, "known": k, "text": t} for z, k, t in page_lines(p)]
-                for p in batch.column("html").to_pylist()
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in names), pa.array(lines, _LINES)], names=[*names, "lines"]
-            )
+def _cut_pages(bounds: list[tuple], copies: dict[tuple, list[int]]):
+    """Pages as lines, each in its range and, marked as not its own, in those that need it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        handed: set[tuple] = set()
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                rows, part, own, marks, lines = [], [], [], [], []
+                keys = zip(*(batch.column(k).to_pylist() for k in _KEY), strict=True)
+                for i, (row, page) in enumerate(
+                    zip(keys, batch.column("html").to_pylist(), strict=True)
+                ):
+                    key = _ordered(row)
+                    digest = hashlib.blake2b(page.encode(), digest_size=8).digest()
+                    mark = int.from_bytes(digest, "big", signed=True)
+                    needed = copies.get(key, [])
+                    if needed and (key, mark) in handed:
+                        needed = []
+                    elif needed:
+                        handed.add((key, mark))
+                    cut = [{"zone": z, "known": k, "text": t} for z, k, t in page_lines(page)]
+                    for p in (bisect_right(bounds, key), *needed):
+                        own.append(not rows or rows[-1] != i)
+                        rows.append(i)
+                        part.append(p)
+                        marks.append(mark)
+                        lines.append(cut)
+                names = ["page_id", "url", "host", "path"]
+                taken = pa.array(rows, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(part, pa.int32()), pa.array(own, pa.bool_()),
+                        pa.array(marks, pa.int64()), *(batch.column(n).take(taken) for n in names),
+                        pa.array(lines, _LINES),
+                    ],
+                    names=["part", "own", "mark", *names, "lines"],
+                )
+
+    return run
+
+
+@dataclass
+class _Page:
+    """A page in reach, with the rows it stands for and what it shares so far."""
+
+    page_id: object
+    url: str | None
+    lines: list[tuple[str, int, str]]
+    rows: int = 0
+    shared: set[int] = field(default_factory=set)
 
+    def __post_init__(self) -> None:
+        self.compared = _compared(self.lines)
 
-# Pages of a host that a task looks at together, and their characters, at most.
-_RUN, _RUN_SIZE = 128, 4 << 20
+
+# Texts that a task hands on together, and their characters, at most.
+_OUT, _OUT_SIZE = 256, 4 << 20
 
 
 def _differences(reach: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        host, size = None, 0
-
-        def flush() -> pa.RecordBatch:
-            texts = difference([h[2] for h in held], reach)
-            columns = [pa.array([h[0] for h in held], kind), pa.array([h[1] for h in held])]
-            return pa.RecordBatch.from_arrays(
-                [columns[0], columns[1].cast(pa.string()), pa.array(texts, pa.string())],
-                names=["page_id", "url", "text"],
-            )
+        held: deque[_Page] = deque()
+        done: list[tuple] = []
+        place, last, size = None, None, 0
+
+        def finish() -> int:
+            page = held.popleft()
+            if not page.rows:
+                return 0
+            text = _main_text(page.lines, page.shared)
+            done.append((page.page_id, page.url, text, page.rows))
+            return len(text)
+
+        def handed() -> Iterator[pa.RecordBatch]:
+            # Rows that repeat a page were held once.
+            rows = ((i, u, t) for i, u, t, n in done for _ in range(n))
+            while some := list(islice(rows, _OUT)):
+                ids, urls, texts = zip(*some, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids, kind), pa.array(urls, pa.string()), pa.array(texts, pa.string())],
+                    names=["page_id", "url", "text"],
+                )
+            done.clear()
 
         for whole in batches:
             kind = whole.schema.field("page_id").type
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                names = ("page_id", "url", "host", "lines")
+            names = ("part", "host", "path", "page_id", "url", "mark", "own", "lines")
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
                 for row in zip(*(batch.column(n).to_pylist() for n in names), strict=True):
-                    if held and (row[2] != host or len(held) >= _RUN or size >= _RUN_SIZE):
-                        yield flush()
-                        held, size = [], 0
-                    lines = [(x["zone"], x["known"], x["text"]) for x in row[3]]
-                    held.append((row[0], row[1], lines))
-                    host, size = row[2], size + sum(len(x[2]) for x in lines)
-        if held:
-            yield flush()
+                    if last != row[:6]:
+                        if place != row[:2]:
+                            while held:
+                                size += finish()
+                        elif len(held) > reach:
+                            size += finish()
+                        place, last = row[:2], row[:6]
+                        lines = [(x["zone"], x["known"], x["text"]) for x in row[7]]
+                        page = _Page(row[3], row[4], lines)
+                        for other in held:
+                            _share(other.compared, page.compared, other.shared, page.shared)
+                        held.append(page)
+                    held[-1].rows += row[6]
+                    if len(done) >= _OUT or size >= _OUT_SIZE:
+                        yield from handed()
+                        size = 0
+        while held:
+            finish()
+        if done:
+            yield from handed()
 
     return run

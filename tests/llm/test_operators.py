@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from headway.llm.encoding import FragmentEncoder
 from headway.llm.grouping import group_links
-from headway.llm.html_text import common_lines, difference, page_lines
+from headway.llm.html_text import common_lines, difference, extract_text, page_lines
 from headway.llm.minhash_dedup import parity_map, superminhash
 from headway.llm.packing import piece_lengths
 from headway.llm.queries import QUERIES
@@ -328,6 +328,27 @@ def test_differencing_keeps_lines_that_only_their_zone_shares():
     assert difference(twins, 4)[2].endswith("gamma delta")
 
 
+def test_main_text_does_not_depend_on_ranges(spark):
+    def page(i):
+        notes = "".join(f"<li>note {(i + k) // 5}</li>" for k in range(5))
+        return f"<div>terms {i // 3}</div><ul>{notes}</ul><p>{f'own{i} ' * 40}</p>"
+
+    pages = [(i, f"http://h.example.org/{i:04}", page(i)) for i in range(300)]
+    pages += [(i, f"http://g.example.org/{i:04}", page(i)) for i in range(300, 303)]
+    pages += [(None, None, "<p>alone</p>"), (7, None, None)] + pages[100:103] * 2
+    table = spark.createDataFrame(pages, "page_id long, url string, html string")
+    want = {}
+    for some in (pages[:300], pages[300:303], [pages[304], pages[303]]):
+        texts = difference([page_lines(h or "") for _, _, h in some], 4)
+        # Each page is judged by its own neighbours: one run of all pages is the plain version.
+        want |= {(i, u): t for (i, u, _), t in zip(some, texts, strict=True)}
+    for partitions in (1, 7, 120):
+        rows = extract_text(table, partitions).collect()
+        assert len(rows) == len(pages)
+        assert {(r["page_id"], r["url"]): r["text"] for r in rows} == want
+        assert all(r["text"] == want[r["page_id"], r["url"]] for r in rows)
+
+
 def test_network_without_both_labels():
     x = np.ones((5, 3))
     assert np.allclose(fit_network(x, np.ones(5)).scores(x), 0.999)
