@@ -228,7 +228,7 @@ def near_duplicates(documents: DataFrame, similarity_percent: int = 75) -> DataF
             if open_.isEmpty():
                 break
         if round_ == 2:
-            members = stored(_with_exclusive(docs, stands, open_), "buckets")
+            members = stored(_with_exclusive(docs, sets, open_), "buckets")
             open_ = members
         member = F.struct("id", "n", "own", "d1", "d2", "map", "root")
         if round_ < 3:
@@ -263,27 +263,32 @@ def _still_open(members: DataFrame, groups: DataFrame) -> DataFrame:
     return stored(named.join(mixed.filter("low < high").select("band"), "band"), "buckets")
 
 
-def _with_exclusive(docs: DataFrame, stands: DataFrame, open_: DataFrame) -> DataFrame:
+def _with_exclusive(docs: DataFrame, sets: DataFrame, open_: DataFrame) -> DataFrame:
     """Members with `own`, the number of shingles that no other member's set has, and `map`.
 
     They are 0 and null for documents whose rows have several sets: what they have together
-    says nothing about each.
+    says nothing about each. Their shingles still count as had, so that none that another
+    document shares with one of their texts passes for its own.
     """
-    several = stands.groupBy("id").agg(F.count("*").alias("sets")).filter("sets > 1")
-    ids = open_.select("id").distinct().join(several, "id", "left_anti")
-    texts = docs.join(ids.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-    # A repeated row would make its own shingles common.
-    texts = texts.groupBy("doc_id").agg(F.first("text").alias("text"))
+    ids = open_.select(F.col("id").alias("doc_id")).distinct()
+    # Any of the sets counts here, also one that a smaller id stands for.
+    several = sets.select("doc_id", "set_key").join(ids, "doc_id", "left_semi").distinct()
+    several = several.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("sets"))
+    several = several.filter("sets > 1")
+    # Rows that repeat a text are one; texts of one id are told apart by what they hold.
+    texts = docs.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     shingles = texts.mapInArrow(_shingle_rows, "id long, shingles array<long>, map array<long>")
-    shingles = stored(shingles, "shingles")
+    shingles = stored(shingles.filter(F.size("shingles") > 0), "shingles")
     lone = (
         shingles.select("id", F.explode("shingles").alias("shingle"))
         .groupBy("shingle")
-        .agg(F.min("id").alias("id"), F.count("*").alias("sets"))
-        .filter("sets = 1")
+        .agg(F.min("id").alias("id"), F.max("id").alias("last"))
+        .filter("id = last")
     )
     own = lone.groupBy("id").agg(F.count("*").alias("lone"))
-    maps = shingles.select("id", "map").join(own, "id", "left")
+    own = own.join(several, "id", "left_anti")
+    maps = shingles.groupBy("id").agg(F.first("map").alias("map"))
+    maps = maps.join(several, "id", "left_anti").join(own, "id", "left")
     found = open_.drop("map").join(maps, "id", "left")
     return found.withColumn("own", F.coalesce("lone", F.lit(0).cast("long"))).drop("lone")
 

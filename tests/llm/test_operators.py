@@ -16,7 +16,7 @@ import corpus_pipeline
 from headway.llm.encoding import FragmentEncoder
 from headway.llm.grouping import group_links
 from headway.llm.html_text import common_lines, difference, extract_text, page_lines
-from headway.llm.minhash_dedup import parity_map, superminhash
+from headway.llm.minhash_dedup import near_duplicates, parity_map, superminhash
 from headway.llm.packing import piece_lengths
 from headway.llm.queries import QUERIES
 from headway.llm.quality import fit_network
@@ -112,6 +112,21 @@ def test_near_duplicates(spark, odd, which):
             assert row["kept"] == (row["component_id"] == row["doc_id"])
 
 
+def test_near_duplicates_of_an_id_with_two_texts(spark):
+    # In every bucket that 100 and 101 share, a smaller id comes first that is like neither;
+    # what they share beyond it only 101 has, whose rows have two texts.
+    def words(tag, n):
+        return [f"{tag}85x{i}" for i in range(n)]
+
+    core = words("core", 84)
+    rows = [(i, " ".join(core + words(f"c{i}y", 26))) for i in range(40)]
+    rows += [(i, " ".join(core + words("rest", 7) + words(t, 10))) for i, t in ((100, "a"), (101, "b"))]
+    rows.append((101, " ".join(words("other", 60))))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = {i: i for i in range(40)} | {100: 100, 101: 100}
+    assert {r["doc_id"]: r["component_id"] for r in got} == want
+
+
 def test_quality(spark, odd):
     rows = _rows(spark, "op2_quality", odd)
     assert len(rows) == len(_odd_documents())
