@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.llm.grouping import stored
+
 # At most this many ranges, so that the bounds stay a few kilobytes.
 MOST_RANGES = 2048
 
@@ -57,3 +59,51 @@ def range_starts(totals: DataFrame, range_name: str, total: str, start: str) ->
     return totals.select(
         range_name, F.coalesce(F.sum(total).over(before), F.lit(0)).cast("long").alias(start)
     )
+
+
+# Rows of one range where rows are numbered: they are sorted within a task and may spill.
+_RANGE_ROWS = 1_000_000
+
+
+def with_position(
+    df: DataFrame, group: list[str], order: list[Column], place: str, total: str | None = None
+) -> DataFrame:
+    """Number the rows of each group from 0 in the given order; rows that tie, in any order.
+
+    `group` names columns without nulls. Rows are dealt to ranges of (group, order), as many
+    as their number asks for, and sorted there; a last key that no two rows share lets ranges
+    cut through ties. A row's place is its place in its range and the number of the group's
+    rows in the ranges before, for which a row per range and group is all that meets.
+    `total` adds the number of the group's rows.
+    """
+    spark = df.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // _RANGE_ROWS))
+    keys = [*(F.col(g) for g in group), *order, F.col("order_tie")]
+    dealt = (
+        df.withColumn("order_tie", F.monotonically_increasing_id())
+        .repartitionByRange(ranges, *keys)
+        .sortWithinPartitions(*keys)
+        .drop("order_tie")
+        .withColumn("order_own", F.monotonically_increasing_id())
+    )
+    # The numbers of rows are those of the range and of the row in it.
+    dealt = stored(dealt, "ordered").withColumns(
+        {
+            "order_range": F.shiftright("order_own", 33),
+            "order_row": F.col("order_own").bitwiseAND((1 << 33) - 1),
+        }
+    )
+    sizes = dealt.groupBy(*group, "order_range").agg(
+        F.count("*").alias("order_size"), F.min("order_row").alias("order_first")
+    )
+    before = Window.partitionBy(*group).orderBy("order_range")
+    earlier = F.coalesce(
+        F.sum("order_size").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    added = {"order_start": earlier - F.col("order_first")}
+    if total:
+        added[total] = F.sum("order_size").over(Window.partitionBy(*group))
+    starts = sizes.withColumns(added).drop("order_size", "order_first")
+    found = dealt.join(stored(starts, "starts"), [*group, "order_range"])
+    last = [F.col(total)] if total else []
+    return found.select(*df.columns, (F.col("order_start") + F.col("order_row")).alias(place), *last)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from headway.llm.grouping import stored
 from headway.llm.html_text import extract_text
+from headway.llm.importance import resample
+from headway.llm.merkle import dataset_proofs, row_digest, with_folded
 from headway.llm.minhash_dedup import near_duplicates
 from headway.llm.mixture import mix_sources
 from headway.llm.order_minhash import fingerprint_documents, fingerprint_text, likeness
@@ -183,3 +185,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(spans).alias("spans"),
     )
+
+
+@registered("op12_importance")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@registered("op13_manifest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    documents = _table(spark, sf_dir, "documents").select(*fields)
+    changed = row_digest(*(F.col(f) + 1 if f == "n_chars" else F.col(f) for f in fields))
+    # Rows that a tampering of n_chars would meet; a null stays null.
+    met = (F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull()
+    documents = documents.withColumn("tampered", F.when(met, changed))
+    proofs, root = dataset_proofs(documents, "doc_id", "lang", fields, ["doc_id", "tampered"])
+    proofs = proofs.withColumn("seen", F.coalesce("tampered", "digest"))
+    found = with_folded(proofs, "seen", "folded", ["doc_id", "digest", "top", "siblings"])
+
+    def text(name: str) -> F.Column:
+        return F.lower(F.hex(name))
+
+    whole = F.lit(root)
+    return found.select(
+        "doc_id",
+        text("digest").alias("leaf"),
+        text("top").alias("subroot"),
+        F.lower(F.hex(whole)).alias("root"),
+        F.sha2(text("siblings"), 256).alias("proof_sha256"),
+        text("folded").alias("folded_root"),
+        (F.col("folded") == whole).alias("verified"),
+    )
