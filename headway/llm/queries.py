@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from headway.llm.backoff import score_texts
 from headway.llm.grouping import stored
 from headway.llm.html_text import extract_text
 from headway.llm.importance import resample
@@ -187,6 +188,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered("op11_backoff")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    apart = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    return score_texts(documents, ~apart).select(
+        "doc_id",
+        (~F.col("trained")).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @registered("op12_importance")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
