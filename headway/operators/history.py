@@ -1,9 +1,18 @@
-"""Deduplicated, idempotent history of stop observations."""
+"""Deduplicated, idempotent history of stop observations.
+
+The history consists of loads. A load writes its rows to partitions of its own and then
+enters its snapshots in the ledger, one small file; only what the ledger names is part of the
+history. A load that was lost in between left rows that nobody reads, and its retry, which
+brings the same snapshots, has the same name and writes over them. Compaction copies the
+rows of many loads to one new load and enters that; the last entry of a snapshot counts.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions import utc_date
@@ -12,11 +21,10 @@ from headway.sources.tables import Catalog
 
 HISTORY_TABLE = "realtime_stop_events"
 OBSERVATION_KEY = ("feed_timestamp", "trip_id", "stop_sequence")
-# The history is laid out by the day of the snapshot, so looking for a snapshot
-# reads that day's folder only.
+# The history is laid out by the day of the snapshot, so a reader of some days opens
+# their folders only, and below it by load.
 HISTORY_PARTITION = "feed_date"
-# The day prunes folders, the time prunes what is read of each file.
-_SPAN = (HISTORY_PARTITION, "feed_timestamp")
+_LAYOUT = [HISTORY_PARTITION, "load"]
 
 
 def dedupe_observations(observations: DataFrame) -> DataFrame:
@@ -34,41 +42,131 @@ def with_feed_date(observations: DataFrame) -> DataFrame:
     return observations.withColumn(HISTORY_PARTITION, utc_date(F.col("feed_timestamp")))
 
 
-def unseen_snapshots(batch: DataFrame, history: DataFrame) -> DataFrame:
-    """Rows of ``batch`` whose snapshot time is not in ``history`` yet.
+def ledger_name(table: str = HISTORY_TABLE) -> str:
+    return f"{table}_ledger"
+
+
+def read_ledger(catalog: Catalog, table: str = HISTORY_TABLE) -> DataFrame:
+    """The load that holds each finished snapshot: feed_timestamp, feed_date, load, entry."""
+    entries = catalog.read(ledger_name(table))
+    newest = Window.partitionBy("feed_timestamp").orderBy(F.desc("entry"))
+    return entries.withColumn("_place", F.row_number().over(newest)).filter("_place = 1").drop("_place")
+
+
+def read_history(catalog: Catalog, table: str = HISTORY_TABLE) -> DataFrame:
+    """The rows of finished loads. Names of partitions decide, so others are not opened."""
+    finished = read_ledger(catalog, table).select(*_LAYOUT).distinct()
+    return catalog.read(table).join(finished, _LAYOUT, "left_semi").drop("load")
+
+
+def history_exists(catalog: Catalog, table: str = HISTORY_TABLE) -> bool:
+    """Whether a load was ever finished."""
+    return catalog.exists(ledger_name(table))
+
+
+def _load_name(snapshots: DataFrame, prefix: str) -> str | None:
+    """A name that the same snapshots always get; None without snapshots."""
+    seen = snapshots.agg(
+        F.count("*").alias("n"),
+        *[F.bit_xor(F.xxhash64(F.lit(seed), "feed_timestamp")).alias(seed) for seed in ("a", "b")],
+    ).first()
+    if not seen["n"]:
+        return None
+    return f"{prefix}{seen['a'] % 2**64:016x}{seen['b'] % 2**64:016x}"
+
+
+def _enter(catalog: Catalog, table: str, load: str) -> None:
+    """Make a load part of the history: one file, which is there or is not.
+
+    What is entered is what the load's own partitions hold by now.
+    """
+    name = ledger_name(table)
+    written = catalog.read(table).filter(F.col("load") == load)
+    snapshots = written.select("feed_timestamp", HISTORY_PARTITION).distinct()
+    last = None
+    if catalog.exists(name):
+        last = catalog.read(name).agg(F.max("entry")).first()[0]
+    entry = F.lit(0 if last is None else last + 1).cast("long").alias("entry")
+    rows = snapshots.select("*", F.lit(load).alias("load"), entry)
+    catalog.append(rows.coalesce(1), name)
+
+
+def unseen_snapshots(batch: DataFrame, finished: DataFrame) -> DataFrame:
+    """Times and days of the snapshots in ``batch`` that ``finished`` does not name.
 
     Only distinct snapshot times of both sides meet, so the size of a snapshot
-    does not matter; the rows are then kept by a semi join on that short list.
+    does not matter.
     """
-    arrived = batch.select("feed_timestamp").distinct()
-    known = history.select("feed_timestamp").distinct()
-    fresh = arrived.join(known, "feed_timestamp", "left_anti")
-    return batch.join(fresh, "feed_timestamp", "left_semi")
+    arrived = batch.select("feed_timestamp", HISTORY_PARTITION).distinct()
+    return arrived.join(finished.select("feed_timestamp").distinct(), "feed_timestamp", "left_anti")
 
 
 def append_new_snapshots(
     batch: DataFrame, catalog: Catalog, table: str = HISTORY_TABLE
-) -> None:
-    """Append the snapshots that are not in the table yet.
+) -> str | None:
+    """Append the snapshots that are not in the history yet; returns the load's name.
 
-    The batch may hold any number of snapshots, of any age. Next to an existing
-    history it is read three times, so it is held on disk meanwhile; a lost
-    executor recomputes its part. The first load is streamed straight through.
+    The batch may hold any number of snapshots, of any age. It is read for its snapshot
+    times and for its rows, so it is held on disk meanwhile; a lost executor recomputes its
+    part. Of what is there already only the ledger is read. One job appends at a time.
     """
     dated = with_feed_date(batch.filter("feed_timestamp is not null"))
-    if not catalog.exists(table):
-        catalog.append(dated, table, [HISTORY_PARTITION])
-        return
     dated = dated.persist(StorageLevel.DISK_ONLY)
     try:
-        span = dated.agg(
-            *[F.min(name).alias(f"first_{name}") for name in _SPAN],
-            *[F.max(name).alias(f"last_{name}") for name in _SPAN],
-        ).first()
-        same_days = catalog.read(table)
-        for name in _SPAN:
-            within = F.col(name).between(span[f"first_{name}"], span[f"last_{name}"])
-            same_days = same_days.filter(within)
-        catalog.append(unseen_snapshots(dated, same_days), table, [HISTORY_PARTITION])
+        fresh = dated.select("feed_timestamp", HISTORY_PARTITION).distinct()
+        if history_exists(catalog, table):
+            fresh = unseen_snapshots(dated, read_ledger(catalog, table))
+        load = _load_name(fresh, "load-")
+        if load is None:
+            return None
+        rows = dated.join(fresh.select("feed_timestamp"), "feed_timestamp", "left_semi")
+        catalog.replace_parts(rows.withColumn("load", F.lit(load)), table, _LAYOUT)
     finally:
         dated.unpersist()
+    _enter(catalog, table, load)
+    return load
+
+
+def compact_history(
+    catalog: Catalog, before: str, table: str = HISTORY_TABLE, most_loads: int = 1
+) -> str | None:
+    """Rewrite the days before ``before`` (a date) that lie in more than ``most_loads`` loads.
+
+    Their rows become one load, whose files have the size of the session's partitions.
+    Readers keep seeing the old loads until the new one is entered, and appends beside it
+    write other loads and other snapshots. What was replaced stays for running readers until
+    :func:`drop_unread` is called.
+    """
+    ledger = read_ledger(catalog, table).filter(F.col(HISTORY_PARTITION) < F.lit(before).cast("date"))
+    scattered = (
+        ledger.groupBy(HISTORY_PARTITION)
+        .agg(F.count_distinct("load").alias("loads"))
+        .filter(F.col("loads") > most_loads)
+    )
+    snapshots = ledger.join(scattered, HISTORY_PARTITION, "left_semi")
+    load = _load_name(snapshots, "compact-")
+    if load is None:
+        return None
+    # Of a load that was entered, only the snapshots that it still holds are taken.
+    held = snapshots.select("feed_timestamp", *_LAYOUT)
+    rows = catalog.read(table).join(held, ["feed_timestamp", *_LAYOUT], "left_semi")
+    catalog.replace_parts(rows.withColumn("load", F.lit(load)), table, _LAYOUT)
+    _enter(catalog, table, load)
+    return load
+
+
+def unread_parts(catalog: Catalog, table: str = HISTORY_TABLE) -> DataFrame:
+    """Partitions that no snapshot of the ledger is read from."""
+    there = catalog.read(table).select(*_LAYOUT).distinct()
+    return there.join(read_ledger(catalog, table).select(*_LAYOUT).distinct(), _LAYOUT, "left_anti")
+
+
+def drop_unread(catalog: Catalog, table: str = HISTORY_TABLE) -> Sequence[dict]:
+    """Remove replaced and lost loads. Not beside an append or a reader of replaced loads.
+
+    The list that comes to the driver is one of folders, as many as were replaced or lost
+    since the last call.
+    """
+    parts = [row.asDict() for row in unread_parts(catalog, table).collect()]
+    catalog.drop_parts(table, parts)
+    return parts

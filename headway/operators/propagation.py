@@ -94,17 +94,27 @@ def delay_propagation_events(events: DataFrame) -> DataFrame:
     )
 
 
-def route_delay_propagation(propagation: DataFrame) -> DataFrame:
-    """Accumulation and recovery per route.
+CHANGE = "delay_change_seconds"
+
+
+def propagation_counts(propagation: DataFrame) -> DataFrame:
+    """Changes counted by day, route and seconds."""
+    return value_counts(propagation, ["service_date", *ROUTE_KEY], CHANGE)
+
+
+def route_delay_propagation(propagation: DataFrame, weight: str | None = None) -> DataFrame:
+    """Accumulation and recovery per route, of rows or of their counts.
 
     Extreme changes are counted and then left out of the average, the median
     and the two shares, which are NULL for a route with nothing else.
     """
-    name = "delay_change_seconds"
+    name = CHANGE
     change, n = F.col(name), F.col("n")
     extreme = F.abs(change) > EXTREME_CHANGE_SECONDS
     usual = F.when(extreme, 0).otherwise(n)
-    counts = with_running_total(value_counts(propagation, ROUTE_KEY, name), ROUTE_KEY, name, usual)
+    counts = with_running_total(
+        value_counts(propagation, ROUTE_KEY, name, weight), ROUTE_KEY, name, usual
+    )
     total, usual_total = F.sum("n"), F.sum(usual)
     extreme_total = F.sum(F.when(extreme, n).otherwise(0))
 

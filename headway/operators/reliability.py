@@ -73,39 +73,74 @@ def reliability_by(
     )
 
 
-# Over canonical events: one row per service day and scheduled stop.
+# What the metrics below need of the row-level tables: how often each delay occurs for the
+# finest keys of a service day. Days are added up by the metrics, so that a day can be
+# counted anew without touching the others.
+EVENT_COUNT_KEYS = [
+    "service_date",
+    *ROUTE_KEY,
+    "direction_id",
+    "stop_id",
+    "stop_name",
+    "scheduled_hour",
+]
+OBSERVATION_COUNT_KEYS = ["service_date", "transport_mode", "scheduled_hour"]
 
 
-def route_reliability(events: DataFrame) -> DataFrame:
-    return reliability_by(events, ROUTE_KEY, "observations")
+def event_counts(events: DataFrame) -> DataFrame:
+    """Canonical events counted by day, route, direction, stop, hour and delay."""
+    return value_counts(_by_service_hour(events), EVENT_COUNT_KEYS, DELAY)
 
 
-def stop_reliability(events: DataFrame) -> DataFrame:
-    return reliability_by(events, ["stop_id", "stop_name", "transport_mode"], "observations")
+def observation_counts(observations: DataFrame, weight: str | None = None) -> DataFrame:
+    """Observations counted by day, mode, hour and delay."""
+    return value_counts(_by_clock_hour(observations), OBSERVATION_COUNT_KEYS, DELAY, weight)
 
 
-def route_stop_reliability(events: DataFrame) -> DataFrame:
-    return reliability_by(events, [*ROUTE_KEY, "stop_id", "stop_name"], "stop_events")
+def _by_service_hour(events: DataFrame) -> DataFrame:
+    """Trips after midnight keep hours of 24 and above; counts have the hour already."""
+    if "scheduled_hour" in events.columns:
+        return events
+    return events.withColumn("scheduled_hour", service_hour(F.col("scheduled_arrival_seconds")))
 
 
-def route_direction_reliability(events: DataFrame) -> DataFrame:
+def _by_clock_hour(observations: DataFrame) -> DataFrame:
+    if "scheduled_hour" in observations.columns:
+        return observations
+    return observations.withColumn("scheduled_hour", clock_hour(F.col("scheduled_arrival_seconds")))
+
+
+# Over canonical events, one row per service day and scheduled stop, or their counts.
+
+
+def route_reliability(events: DataFrame, weight: str | None = None) -> DataFrame:
+    return reliability_by(events, ROUTE_KEY, "observations", weight)
+
+
+def stop_reliability(events: DataFrame, weight: str | None = None) -> DataFrame:
+    return reliability_by(events, ["stop_id", "stop_name", "transport_mode"], "observations", weight)
+
+
+def route_stop_reliability(events: DataFrame, weight: str | None = None) -> DataFrame:
+    return reliability_by(events, [*ROUTE_KEY, "stop_id", "stop_name"], "stop_events", weight)
+
+
+def route_direction_reliability(events: DataFrame, weight: str | None = None) -> DataFrame:
     directed = events.filter("direction_id is not null")
-    return reliability_by(directed, [*ROUTE_KEY, "direction_id"], "stop_events")
+    return reliability_by(directed, [*ROUTE_KEY, "direction_id"], "stop_events", weight)
 
 
-def route_hourly_reliability(events: DataFrame) -> DataFrame:
-    """By service hour; trips after midnight keep hours of 24 and above."""
-    timed = events.filter("scheduled_arrival_seconds is not null").withColumn(
-        "scheduled_hour", service_hour(F.col("scheduled_arrival_seconds"))
-    )
-    return reliability_by(timed, [*ROUTE_KEY, "scheduled_hour"], "stop_events")
+def route_hourly_reliability(events: DataFrame, weight: str | None = None) -> DataFrame:
+    """By service hour."""
+    timed = _by_service_hour(events).filter("scheduled_hour is not null")
+    return reliability_by(timed, [*ROUTE_KEY, "scheduled_hour"], "stop_events", weight)
 
 
-def route_weekday_reliability(events: DataFrame) -> DataFrame:
+def route_weekday_reliability(events: DataFrame, weight: str | None = None) -> DataFrame:
     day = F.col("service_date")
     # The name follows from the number: it is added after the aggregation.
     numbered = events.withColumn("day_of_week_number", weekday_number(day))
-    metrics = reliability_by(numbered, [*ROUTE_KEY, "day_of_week_number"], "stop_events")
+    metrics = reliability_by(numbered, [*ROUTE_KEY, "day_of_week_number"], "stop_events", weight)
     # 2023-12-31 was a Sunday, day number 1 is one day after the Saturday before.
     any_such_day = F.date_add(F.lit("2023-12-30").cast("date"), F.col("day_of_week_number"))
     named = metrics.withColumn("day_of_week", weekday_name(any_such_day))
@@ -113,14 +148,12 @@ def route_weekday_reliability(events: DataFrame) -> DataFrame:
     return named.select(*ROUTE_KEY, "day_of_week_number", "day_of_week", *rest)
 
 
-# Over observations: every snapshot counts.
+# Over observations, where every snapshot counts, or their counts.
 
 
 def hourly_patterns(observations: DataFrame, weight: str | None = None) -> DataFrame:
     """By mode and hour on the clock."""
-    timed = observations.filter("scheduled_arrival_seconds is not null").withColumn(
-        "scheduled_hour", clock_hour(F.col("scheduled_arrival_seconds"))
-    )
+    timed = _by_clock_hour(observations).filter("scheduled_hour is not null")
     return reliability_by(timed, ["transport_mode", "scheduled_hour"], "observations", weight)
 
 

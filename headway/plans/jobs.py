@@ -13,7 +13,11 @@ from headway.operators import reliability as rel
 from headway.operators.flatten import trip_update_rows, typed_observations
 from headway.operators.history import HISTORY_TABLE, append_new_snapshots, dedupe_observations
 from headway.operators.observations import canonical_events, stop_observations
-from headway.operators.propagation import delay_propagation_events, route_delay_propagation
+from headway.operators.propagation import (
+    delay_propagation_events,
+    propagation_counts,
+    route_delay_propagation,
+)
 from headway.operators.scope import (
     observations_in_scope,
     routes_in_scope,
@@ -85,11 +89,19 @@ _FROM_EVENTS = {
 }
 
 
+# Counts by service day that the aggregates are computed from; a day's counts follow from
+# that day's rows alone.
+EVENT_COUNTS = "stop_event_delay_counts"
+OBSERVATION_COUNTS = "observation_delay_counts"
+PROPAGATION_COUNTS = "delay_change_counts"
+
+
 def gold_frames(silver: dict[str, DataFrame], keep=lambda df, name: df) -> dict[str, DataFrame]:
     """The twelve Gold tables.
 
     ``keep`` may materialise a table and return a frame that reads it; the
-    tables that others are computed from then act as its readers' input.
+    tables that others are computed from then act as its readers' input. It is
+    also given the daily counts, which are no Gold tables.
     """
     gold = {}
 
@@ -100,19 +112,25 @@ def gold_frames(silver: dict[str, DataFrame], keep=lambda df, name: df) -> dict[
     observations = add("reliability_stop_observations", stop_observations(silver))
     events = add("reliability_stop_events", canonical_events(observations))
     propagation = add("delay_propagation_stop_events", delay_propagation_events(events))
+    by_observation = keep(rel.observation_counts(observations), OBSERVATION_COUNTS)
+    by_event = keep(rel.event_counts(events), EVENT_COUNTS)
+    by_change = keep(propagation_counts(propagation), PROPAGATION_COUNTS)
     for name, metrics in _FROM_OBSERVATIONS.items():
-        add(name, metrics(observations))
+        add(name, metrics(by_observation, "n"))
     for name, metrics in _FROM_EVENTS.items():
-        add(name, metrics(events))
-    add("route_delay_propagation", route_delay_propagation(propagation))
+        add(name, metrics(by_event, "n"))
+    add("route_delay_propagation", route_delay_propagation(by_change, "n"))
     return gold
 
 
-# The three row-level tables are laid out by service day.
+# Row-level tables and daily counts are laid out by service day.
 _BY_DAY = (
     "reliability_stop_observations",
     "reliability_stop_events",
     "delay_propagation_stop_events",
+    OBSERVATION_COUNTS,
+    EVENT_COUNTS,
+    PROPAGATION_COUNTS,
 )
 
 
@@ -122,13 +140,16 @@ def build_gold(
     """Write the twelve Gold tables; each is computed once and then read back.
 
     A written table is also where a lost executor's work restarts from. With
-    ``days``, the row-level tables are recomputed for those service days only,
-    which is enough after an append: each of their rows depends on the history
-    of its own day. The aggregates are refreshed from the whole tables.
+    ``days``, the row-level tables and the daily counts are recomputed for those
+    service days only, which is enough after an append: each of their rows
+    depends on the history of its own day. A day that has no rows any more loses
+    its partitions. The aggregates are refreshed from the counts of all days, so
+    no row of another day is read.
     """
     if days is not None:
+        days = list(days)
         history = silver["realtime_stop_events"]
-        wanted = history.filter(F.col("start_date").isin(list(days)))
+        wanted = history.filter(F.col("start_date").isin(days))
         silver = {**silver, "realtime_stop_events": wanted}
 
     def keep(df: DataFrame, name: str) -> DataFrame:
@@ -136,7 +157,7 @@ def build_gold(
             return catalog.replace(df, name)
         if days is None:
             return catalog.replace(df, name, ["service_date"])
-        return catalog.replace_parts(day_rows(df, days), name, ["service_date"])
+        return catalog.replace_parts(day_rows(df, days), name, ["service_date"], days)
 
     return gold_frames(silver, keep)
 

@@ -433,6 +433,18 @@ def _duplicates(tables: dict[str, str], rules: dict[str, list[str]]) -> str:
     )
 
 
+def _gold_totals() -> str:
+    parts = []
+    for name, source in _GOLD.items():
+        sums = {c: f"coalesce(sum(cast(round({c} * 100) as bigint)), 0)" for c in t.GOLD_NUMBERS[name]}
+        for subject, value in {"rows": "count(*)", **sums}.items():
+            parts.append(
+                f"select '{name}' as table_name, '{subject}' as subject,"
+                f" cast({value} as bigint) as value from {source}"
+            )
+    return _union(parts)
+
+
 def _orphans() -> str:
     parts = []
     for child, key, parent in REFERENCES:
@@ -570,9 +582,10 @@ def oracle_queries() -> dict[str, str]:
         "stops_used": view("stops"),
         "realtime_scope": view("scoped_realtime"),
         "observations_dedup": view("deduped"),
-        "append_new_snapshots": query(
-            f"select {_HISTORY_COLUMNS}, {_FEED_DATE} from deduped", "deduped"
-        ),
+        **{
+            name: query(f"select {_HISTORY_COLUMNS}, {_FEED_DATE} from deduped", "deduped")
+            for name in ("append_new_snapshots", "history_after_lost_load", "history_compacted")
+        },
         # Gold
         "stop_observations": view("observations"),
         "canonical_stop_events": view("canonical"),
@@ -646,6 +659,7 @@ def oracle_queries() -> dict[str, str]:
             "trips",
         ),
         "time_checks": query(_times(), "all_stop_events"),
+        "gold_rebuilt_days": query(_gold_totals(), *gold_reads),
         "not_null_gold": query(_nulls(_GOLD, GOLD_FILLED), *gold_reads),
         "unique_grain_gold": query(_duplicates(_GOLD, GOLD_GRAIN), *gold_reads),
         # Reports

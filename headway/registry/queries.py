@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import wraps
 
@@ -21,11 +22,19 @@ from headway.operators.flatten import (
     vehicles_by_id,
     vehicles_by_trip,
 )
-from headway.operators.history import append_new_snapshots, dedupe_observations
+from headway.operators.history import (
+    HISTORY_TABLE,
+    append_new_snapshots,
+    compact_history,
+    dedupe_observations,
+    drop_unread,
+    read_history,
+    with_feed_date,
+)
 from headway.operators.propagation import delay_propagation_events, route_delay_propagation
 from headway.operators.scope import observations_in_scope
 from headway.plans import reports
-from headway.plans.jobs import gold_frames
+from headway.plans.jobs import build_gold, gold_frames
 from headway.registry import tables as t
 from headway.registry.encode import payloads_of, vehicle_payloads_of
 from headway.session import configure, new_folder
@@ -80,7 +89,7 @@ def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     since each of them feeds several others."""
 
     def keep(df: DataFrame, name: str) -> DataFrame:
-        if "stop_events" not in name and "observations" not in name:
+        if not any(part in name for part in ("stop_events", "observations", "counts")):
             return df
         folder = new_folder(spark, name)
         df.write.parquet(folder)
@@ -149,7 +158,36 @@ def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch = dedupe_observations(scoped_history(spark, sf_dir))
     append_new_snapshots(batch, catalog)
     append_new_snapshots(batch, catalog)
-    return catalog.read("realtime_stop_events")
+    return read_history(catalog)
+
+
+@registered("history_after_lost_load")
+def _lost_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads that were lost before they were entered: the one that is retried had
+    written a part of its rows, the other one rows of snapshots that another load brings."""
+    catalog = FolderCatalog(spark, new_folder(spark, "history"))
+    batch = dedupe_observations(scoped_history(spark, sf_dir))
+    early = F.col("feed_timestamp") < F.timestamp_seconds(F.lit(t.NOW + 40 * 86400))
+    load = append_new_snapshots(batch.filter(early), FolderCatalog(spark, new_folder(spark, "trial")))
+    for name, lost in ((load, early & (F.col("stop_sequence") % 2 == 0)), ("load-other", ~early)):
+        rows = with_feed_date(batch.filter(lost)).withColumn("load", F.lit(name))
+        catalog.replace_parts(rows, HISTORY_TABLE, ["feed_date", "load"])
+    append_new_snapshots(batch.filter(early), catalog)
+    append_new_snapshots(batch, catalog)
+    return read_history(catalog)
+
+
+@registered("history_compacted")
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads that share days, the closed days of which are made one load."""
+    catalog = FolderCatalog(spark, new_folder(spark, "history"))
+    batch = dedupe_observations(scoped_history(spark, sf_dir))
+    for part in range(3):
+        some = F.pmod(F.xxhash64("feed_timestamp"), F.lit(3)) <= part
+        append_new_snapshots(batch.filter(some), catalog)
+    compact_history(catalog, "2024-03-01")
+    drop_unread(catalog)
+    return read_history(catalog)
 
 
 # Gold tables
@@ -209,6 +247,34 @@ def _handshake(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.handshake(t.realtime(spark, sf_dir).select("trip_id"), trips)
 
 
+@registered("gold_rebuilt_days")
+def _rebuilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold tables of a history that changes: every third service day first lacks rows, and
+    one day has rows that are all withdrawn. Only those days are built again."""
+    catalog = FolderCatalog(spark, new_folder(spark, "gold"))
+    whole = t.silver(spark, sf_dir)
+    history = whole["realtime_stop_events"]
+    first, gone = datetime.date(2024, 1, 1), datetime.date(2025, 6, 1)
+    late = [first + datetime.timedelta(days=k) for k in range(0, t.SERVICE_DAYS, 3)]
+    known = history.filter(~F.col("start_date").isin(late) | (F.col("stop_sequence") > 2))
+    wrong = history.filter(F.col("start_date") == late[1]).withColumn("start_date", F.lit(gone))
+    build_gold({**whole, "realtime_stop_events": known.unionByName(wrong)}, catalog)
+    return gold_totals(build_gold(whole, catalog, [*late, gone]))
+
+
+def gold_totals(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows of each table, and the sums of its numbers in hundredths."""
+    parts = []
+    for name, df in tables.items():
+        sums = {
+            c: F.coalesce(F.sum(F.round(F.col(c) * 100).cast("long")), F.lit(0)) for c in t.GOLD_NUMBERS[name]
+        }
+        one = df.agg(F.count("*").alias("rows"), *[v.alias(c) for c, v in sums.items()])
+        long = one.unpivot([], one.columns, "subject", "value")
+        parts.append(long.select(F.lit(name).alias("table_name"), "subject", "value"))
+    return quality.all_results(parts)
+
+
 _over(gold, quality.not_null_gold, "not_null_gold")
 _over(gold, quality.unique_grain_gold, "unique_grain_gold")
 
@@ -431,7 +497,7 @@ def _stream_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = t.scoped_static(spark, sf_dir)["trips"]
     scoped = observations_in_scope(rows, trips)
     _finish(stream_history.start_history(scoped, catalog, f"{folder}/checkpoint"))
-    return catalog.read("realtime_stop_events")
+    return read_history(catalog)
 
 
 def _vehicle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

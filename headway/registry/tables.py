@@ -156,6 +156,36 @@ UPDATES = [
     "max(cast(l_quantity as bigint) * 7 - 150) as departure_delay",
 ]
 
+_SHARES = [
+    "avg_arrival_delay_seconds",
+    "median_arrival_delay_seconds",
+    "p95_arrival_delay_seconds",
+    "on_time_pct",
+    "over_5_min_late_pct",
+    "over_10_min_late_pct",
+]
+# The numbers of the Gold tables that are added up to compare them as wholes.
+GOLD_NUMBERS = {
+    "reliability_stop_observations": ["trip_id", "stop_id", "arrival_delay_seconds"],
+    "reliability_stop_events": ["trip_id", "stop_sequence", "seconds_from_reported_arrival"],
+    "delay_propagation_stop_events": ["previous_arrival_delay_seconds", "delay_change_seconds"],
+    "hourly_reliability_patterns": ["scheduled_hour", "observations", *_SHARES],
+    "daily_reliability_metrics": ["observations", *_SHARES],
+    "route_reliability": ["route_id", "observations", *_SHARES],
+    "stop_reliability": ["stop_id", "observations", *_SHARES],
+    "route_stop_reliability": ["route_id", "stop_events", *_SHARES],
+    "route_direction_reliability": ["direction_id", "stop_events", *_SHARES],
+    "route_hourly_reliability": ["scheduled_hour", "stop_events", *_SHARES],
+    "route_weekday_reliability": ["day_of_week_number", "stop_events", *_SHARES],
+    "route_delay_propagation": [
+        "propagation_events",
+        "extreme_propagation_events",
+        "avg_delay_change_seconds",
+        "median_delay_change_seconds",
+        "pct_delay_accumulated",
+    ],
+}
+
 
 def filled(expressions: list[str], names: dict[str, str]) -> list[str]:
     return [text.format(**names) for text in expressions]

@@ -2,16 +2,33 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Names of the five source tables.
 SILVER_TABLES = ("routes", "trips", "stop_events", "stops", "realtime_stop_events")
 
 
+def _literal(value: object) -> str:
+    """A partition value as SQL; days and texts are quoted."""
+    if value is None:
+        return "null"
+    if isinstance(value, (int, float)) and not isinstance(value, bool):
+        return str(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
+def _folder_text(value: object) -> str:
+    """A partition value as the name of its folder."""
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else quote(str(value), safe=" -_.,()@+")
+
+
 @dataclass(frozen=True)
 class Catalog:
     """Maps the table names used here to a catalog schema.
@@ -35,8 +52,11 @@ class Catalog:
         return self.spark.catalog.tableExists(self.name(table))
 
     def silver(self) -> dict[str, DataFrame]:
-        """The five source tables by name."""
-        return {table: self.read(table) for table in SILVER_TABLES}
+        """The five source tables by name; of the history, what its ledger names."""
+        from headway.operators.history import read_history
+
+        tables = {table: self.read(table) for table in SILVER_TABLES[:-1]}
+        return {**tables, SILVER_TABLES[-1]: read_history(self)}
 
     def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
         """Replace a table with ``df``, its schema included, and read it back."""
@@ -44,14 +64,38 @@ class Catalog:
         self._save(writer.option("overwriteSchema", "true"), table)
         return self.read(table)
 
-    def replace_parts(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> DataFrame:
-        """Replace only the partitions that ``df`` has rows for."""
+    def replace_parts(
+        self,
+        df: DataFrame,
+        table: str,
+        partition_by: Sequence[str],
+        whole: Sequence[object] | None = None,
+    ) -> DataFrame:
+        """Replace the partitions that ``df`` has rows for.
+
+        ``whole`` lists values of the one partition column that ``df`` stands for as a
+        whole: those of them without a row lose their partition. Which have rows is
+        observed while they are written.
+        """
         if not self.exists(table):
             return self.replace(df, table, partition_by)
         in_order = df.select(*self.read(table).columns)
+        seen = Observation()
+        if whole is not None:
+            (column,) = partition_by
+            in_order = in_order.observe(seen, F.collect_set(column).alias("values"))
         self._save_parts(in_order.hint("rebalance", *partition_by), table, partition_by)
+        if whole is not None:
+            written = seen.get["values"]
+            self.drop_parts(table, [{column: v} for v in whole if v not in written])
         return self.read(table)
 
+    def drop_parts(self, table: str, parts: Sequence[Mapping[str, object]]) -> None:
+        """Remove partitions, named by the values of their columns, where they exist."""
+        for part in parts:
+            where = ", ".join(f"{name} = {_literal(value)}" for name, value in part.items())
+            self.spark.sql(f"alter table {self.name(table)} drop if exists partition ({where})")
+
     def append(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         """Append rows, creating the table on first use."""
         self._save(self._writer(df, partition_by).mode("append"), table)
@@ -95,6 +139,23 @@ class FolderCatalog(Catalog):
     def _save(self, writer: DataFrameWriter, table: str) -> None:
         writer.save(self.name(table))
 
+    def drop_parts(self, table: str, parts: Sequence[Mapping[str, object]]) -> None:
+        # A folder is emptied by writing no rows over it.
+        if not parts:
+            return
+        nothing = self.read(table).limit(0)
+        for part in parts:
+            where = "/".join(f"{name}={_folder_text(value)}" for name, value in part.items())
+            path = f"{self.name(table)}/{where}"
+            rows = nothing.drop(*part)
+            try:
+                self.spark.read.format(self.fmt).load(path).schema
+            except AnalysisException as problem:
+                if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    continue
+                raise
+            rows.write.format(self.fmt).mode("overwrite").save(path)
+
     def _save_parts(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
         writer = df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by)
         writer.option("partitionOverwriteMode", "dynamic").save(self.name(table))
