@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import math
 import re
 import zlib
 from itertools import combinations
@@ -122,3 +123,105 @@ def top_k(vectors, queries, k):
         ]
         out[q] = sorted(scores, key=lambda s: (-s[1], s[0]))[:k]
     return out
+
+
+def backoff(rows, trained, order, prior):
+    """rows (key, text), the keys learned from, to {key: (n_tokens, n_known, base, score)}, N."""
+    texts = {k: ["<s>"] + _WORD.findall((t or "").translate(_UPPER)) + ["</s>"] for k, t in rows}
+    counts = {}
+    for k, words in texts.items():
+        if k in trained:
+            for n in range(1, order + 1):
+                for i in range(len(words) - n + 1):
+                    gram = tuple(words[i : i + n])
+                    counts[gram] = counts.get(gram, 0) + 1
+    single = {g: c for g, c in counts.items() if len(g) == 1 and g != ("<s>",)}
+    total, kinds = sum(single.values()), len(single)
+
+    def chance(context, word):
+        if not context:
+            return (single.get((word,), 0) + 0.1) / (total + 0.1 * (kinds + 1))
+        seen, before = counts.get((*context, word), 0), counts.get(context, 0)
+        return (seen + prior * chance(context[1:], word)) / (before + prior)
+
+    out = {}
+    for k, words in texts.items():
+        base = score = known = 0
+        for i in range(1, len(words)):
+            base += math.log10(chance((), words[i]))
+            score += math.log10(chance(tuple(words[max(0, i - order + 1) : i]), words[i]))
+            known += (words[i],) in single
+        out[k] = (len(words) - 1, known, base, score)
+    return out, total
+
+
+def importance(rows, target, order=1, buckets=10_000, percent=10, seed="2024", least=20):
+    """rows (doc_id, text) to a list of (doc_id, n_features, weight, score, rank)."""
+    plain = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def features(text):
+        words = plain.findall((text or "").translate(_UPPER))
+        grams = [" ".join(words[i : i + n]) for n in range(1, order + 1)
+                 for i in range(len(words) - n + 1)]
+        return len(words), [zlib.crc32(g.encode()) % buckets for g in grams]
+
+    own = [(i, *features(t)) for i, t in rows]
+    there = [b for t in target for b in features(t)[1]]
+    here = [b for _, _, f in own for b in f]
+    s, t = np.bincount(here, minlength=buckets).tolist(), np.bincount(there, minlength=buckets).tolist()
+    gain = [
+        math.floor(1000 * math.log((b + 1) * (len(here) + buckets) / ((a + 1) * (len(there) + buckets))))
+        for a, b in zip(s, t, strict=True)
+    ]
+    scored = []
+    for i, words, found in own:
+        weight = sum(gain[b] for b in found) // len(found) if found else 0
+        digest = hashlib.sha256(f"{seed}:{'null' if i is None else i}".encode()).hexdigest()
+        noise = -1000 * math.log(-math.log((int(digest[:8], 16) + 0.5) / 4294967296))
+        scored.append((i, len(found), weight, weight + math.floor(noise), words >= least))
+    order_of = sorted((r for r in scored if r[4]), key=lambda r: (-r[3], r[0] is None, r[0] or 0, -r[2]))
+    best = percent * len(order_of) // 100
+    return [(*r[:4], k if k <= best else None) for k, r in enumerate(order_of, 1)] + [
+        (*r[:4], None) for r in scored if not r[4]
+    ]
+
+
+def _hash(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _tree(digests, fan):
+    """The root, and for each leaf the siblings and its place in the run, level by level."""
+    paths, at, level = [[] for _ in digests], list(range(len(digests))), digests
+    while len(level) > 1:
+        runs = [level[i : i + fan] for i in range(0, len(level), fan)]
+        for k, path in enumerate(paths):
+            run, place = runs[at[k] // fan], at[k] % fan
+            path.append((run[:place], run[place + 1 :]))
+            at[k] //= fan
+        level = [_hash("".join(r)) for r in runs]
+    return level[0], paths
+
+
+def manifest(rows, fan):
+    """rows (key, tree, leaf digest) to the root and (key, leaf, subroot, path) of each row."""
+    trees = {}
+    for key, tree, leaf in rows:
+        trees.setdefault(tree, []).append((key, leaf))
+    names = sorted(trees, key=lambda t: (t is not None, (t or "").encode()))
+    tops, out = {}, []
+    for name in names:
+        trees[name].sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        tops[name] = _tree([leaf for _, leaf in trees[name]], fan)
+    root, crown = _tree([tops[n][0] for n in names], fan)
+    for name, above in zip(names, crown, strict=True):
+        subroot, paths = tops[name]
+        for (key, leaf), path in zip(trees[name], paths, strict=True):
+            out.append((key, leaf, subroot, path + above))
+    return root, out
+
+
+def folded(leaf, path):
+    for before, after in path:
+        leaf = _hash("".join(before) + leaf + "".join(after))
+    return leaf
