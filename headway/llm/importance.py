@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from headway.llm.grouping import stored
 from headway.llm.ordering import with_position
+from headway.llm.wordbytes import slices
 
 # A word is a run of digits, lower case letters and whatever is not ASCII.
 _SEPARATOR = re.compile(rb"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]")
@@ -210,7 +211,7 @@ def _counter(order: int, buckets: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(buckets, np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 8192)):
             rows = [(0, t) for t in batch.column(0).to_pylist() if t]
             for _, parts, leads in _pieces(rows, order):
                 interned = Interned(_ngrams(parts, leads, order)[0], buckets)
@@ -244,7 +245,7 @@ def gains(corpus: np.ndarray, target: np.ndarray) -> np.ndarray:
 
 def _weigher(order: int, gain: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text", 8192)):
             n = batch.num_rows
             features, words, sums = (np.zeros(n, np.int64) for _ in range(3))
             rows = [(i, t) for i, t in enumerate(batch.column(1).to_pylist()) if t]
