@@ -8,11 +8,11 @@ for a word fails to the state of its suffix at the cost ``prior / (c(h) + prior)
 read once from left to right; the state is carried from word to word.
 
 No task holds the whole model, which grows with the corpus. Documents are dealt to blocks of
-about a million words. A block sends the 64-bit keys of its distinct n-grams, with how often
+half a million words or so. A block sends the 64-bit keys of its distinct n-grams, with how often
 they occur in its training texts, to the key ranges; a range adds up and answers each block
 with the totals in the order in which it asked, without the keys. From the answers a block
 builds the automaton of just its own n-grams, which has every arc that its texts can take,
-and reads its texts. A frequent n-gram is one entry per block, however often it occurs.
+and reads its texts, many at once, each a word at a time. A frequent n-gram is one entry per block, however often it occurs.
 
 Defined results: null and empty texts have one token, the end. Null ids and rows that repeat
 an id are documents of their own. Without training texts N is 0 and every probability of a
@@ -34,12 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from headway.llm.grouping import stored
-from headway.llm.wordbytes import mix
+from headway.llm.wordbytes import mix, slices
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _PIECE = 8 << 20
-_BLOCK_TOKENS, _BLOCK_BYTES = 1 << 20, 24 << 20
+_BLOCK_TOKENS, _BLOCK_BYTES = 1 << 19, 16 << 20
 _RANGE_NGRAMS = 2 << 20
+# Words that are read one after the other; the runs of a block are read side by side.
+_RUN = 512
 _MORE = np.uint64(0x9E3779B97F4A7C15)
 # The end of a text and what stands before it; words have no spaces.
 _END, _START = 0, 1
@@ -133,7 +135,7 @@ def _cut(text: str | None, order: int) -> Iterator[tuple[list[bytes], list[bytes
 def _blocks(order: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, number, first = _Block(), 0, 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "text")):
             for row, doc_id, trained, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 # Numbers of rows have the task's number in their upper bits.
                 first = row >> 33 << 33
@@ -163,6 +165,7 @@ class _Ngrams:
     """A block read back: tokens by piece, and its n-grams by length."""
 
     def __init__(self, row: dict, order: int):
+        self.order = order
         self.tokens = _numbers(row["tokens"], "<i4").astype(np.int64)
         self.sizes, self.leads = _numbers(row["sizes"], "<i4"), _numbers(row["leads"], "<i4")
         hashes = _numbers(row["words"], "<u8")
@@ -182,11 +185,13 @@ class _Ngrams:
         for n in range(2, order + 1):
             at = np.flatnonzero(place >= n - 1)
             pairs = before[at - 1] << 32 | self.tokens[at]
-            pairs, first, number = np.unique(pairs, return_index=True, return_inverse=True)
+            pairs, number = np.unique(pairs, return_inverse=True)
+            some = np.empty(len(pairs), np.int64)
+            some[number] = at
             prefix, last = pairs >> 32, pairs & 0xFFFFFFFF
             keys = mix(self.orders[-1].keys[prefix] * _MORE + hashes[last])
             mine = np.bincount(number[counted[at]], minlength=len(pairs))
-            self.orders.append(_Order(prefix, before[at[first]], last, keys, mine))
+            self.orders.append(_Order(prefix, before[some], last, keys, mine))
             before = np.zeros(len(self.tokens), np.int64)
             before[at] = number
 
@@ -203,7 +208,8 @@ def _asking(order: int, bits: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for i in range(batch.num_rows):
+                (row,) = batch.slice(i, 1).to_pylist()
                 for n, grams in enumerate(_Ngrams(row, order).orders, 1):
                     sort = np.argsort(grams.keys, kind="stable")
                     keys, trained = grams.keys[sort], grams.trained[sort]
@@ -258,66 +264,96 @@ class _Corpus:
 
 
 class Automaton:
-    """States, arcs and failure arcs of a block's n-grams."""
+    """States, arcs and failure arcs of a block's n-grams; state 0 is the one without words."""
 
     def __init__(self, orders: list[_Order], totals: list[np.ndarray], corpus: _Corpus, prior: float):
-        words = orders[0]
-        self.width = len(words.last)
+        self.width = len(orders[0].last)
         chance = corpus.of_words(totals[0])
         self.word_logs = np.log10(chance)
         contexts = totals[0].copy()
         contexts[_START] = corpus.texts
         # The state of an n-gram: its own if it was seen, else that of its suffix.
-        state = np.where(contexts > 0, 1 + np.arange(self.width), 0) if len(orders) > 1 else contexts * 0
+        state = np.zeros(self.width, np.int64)
+        if len(orders) > 1:
+            state = np.where(contexts > 0, 1 + np.arange(self.width), 0)
+        self.root_next = state
         back, fail = [np.zeros(1)], [np.zeros(1, np.int64)]
-        from_state, logs, following = [], [], []
-        free = 1
-        self.root_next = state.tolist()
-        self.root_logs = self.word_logs.tolist()
+        arcs, logs, following, free = [], [], [], 1
+        shorter = np.zeros(self.width, np.int64)
         for n, grams in enumerate(orders[1:], 2):
             back.append(np.log10(prior / (contexts + prior)))
-            if n == 2:
-                fail.append(np.zeros(self.width, np.int64))
+            fail.append(shorter)
             counts = totals[n - 1]
             chance = (counts + prior * chance[grams.suffix]) / (contexts[grams.prefix] + prior)
             shorter = state[grams.suffix]
             own = free + grams.prefix
             free += len(contexts)
+            state = shorter
             if n < len(orders):
                 state = np.where(counts > 0, free + np.arange(len(counts)), shorter)
-                fail.append(shorter)
-            else:
-                state = shorter
+            # n-grams are in the order of prefix and last word, so arcs are sorted.
             seen = np.flatnonzero(counts > 0)
-            from_state.append((own * self.width + grams.last)[seen])
+            arcs.append((own * self.width + grams.last)[seen])
             logs.append(np.log10(chance[seen]))
             following.append(state[seen])
             contexts = counts
-        self.back = np.concatenate(back).tolist()
-        self.fail = np.concatenate(fail).tolist()
-        empty = [np.zeros(0, np.int64)]
-        self.arcs = dict(zip(np.concatenate([*empty, *from_state]).tolist(),
-                             zip(np.concatenate([*empty, *logs]).tolist(),
-                                 np.concatenate([*empty, *following]).tolist(), strict=True),
-                             strict=True))
-
-    def read(self, tokens: list[int], state: int = 0) -> tuple[float, int]:
-        """The sum of log10 probabilities from left to right, and the state at the end."""
-        arc, width, back, fail = self.arcs.get, self.width, self.back, self.fail
-        root_logs, root_next, total = self.root_logs, self.root_next, 0.0
-        for word in tokens:
-            while state:
-                found = arc(state * width + word)
-                if found:
-                    log, state = found
-                    total += log
-                    break
-                total += back[state]
-                state = fail[state]
-            else:
-                total += root_logs[word]
-                state = root_next[word]
-        return total, state
+        self.back, self.fail = np.concatenate(back), np.concatenate(fail)
+        # A last arc that no word takes ends every search.
+        self.arcs = np.concatenate([*arcs, [np.iinfo(np.int64).max]])
+        self.logs = np.concatenate([*logs, [0.0]])
+        self.following = np.concatenate([*following, [0]]).astype(np.int64)
+
+    def read(
+        self, tokens: np.ndarray, begins: np.ndarray, starts: np.ndarray, ends: np.ndarray
+    ) -> np.ndarray:
+        """Sums of log10 probabilities of many runs of tokens, read side by side.
+
+        Every run goes from left to right and carries its state from word to word. The words
+        from begin to start lead in, those from start to end count.
+        """
+        order = np.argsort(begins - ends, kind="stable")
+        begins, leads, sizes = begins[order], (starts - begins)[order], (ends - begins)[order]
+        state, total = np.zeros(len(order), np.int64), np.zeros(len(order))
+        running = np.searchsorted(-sizes, -np.arange(sizes.max(initial=0)), "left")
+        for step, n in enumerate(running.tolist()):
+            words, now = tokens[begins[:n] + step], state[:n]
+            gained = np.zeros(n)
+            todo = np.flatnonzero(now)
+            at_root = now == 0
+            while len(todo):
+                key = now[todo] * self.width + words[todo]
+                at = np.searchsorted(self.arcs, key)
+                found = self.arcs[at] == key
+                hit, at = todo[found], at[found]
+                gained[hit] += self.logs[at]
+                now[hit] = self.following[at]
+                todo = todo[~found]
+                failed = now[todo]
+                gained[todo] += self.back[failed]
+                failed = self.fail[failed]
+                now[todo] = failed
+                at_root[todo[failed == 0]] = True
+                todo = todo[failed > 0]
+            at_root = np.flatnonzero(at_root)
+            gained[at_root] += self.word_logs[words[at_root]]
+            now[at_root] = self.root_next[words[at_root]]
+            counted = step >= leads[:n]
+            total[:n][counted] += gained[counted]
+        out = np.empty(len(order))
+        out[order] = total
+        return out
+
+    def read_pieces(self, grams: _Ngrams) -> np.ndarray:
+        """The sum of each piece: runs of it are read side by side, led in by the words before."""
+        own = grams.sizes - grams.leads
+        runs = np.maximum(1, -(-own // _RUN))
+        piece = np.repeat(np.arange(len(own)), runs)
+        number = np.arange(len(piece)) - np.repeat(np.cumsum(runs) - runs, runs)
+        first = (grams.ends - grams.sizes)[piece]
+        starts = first + grams.leads[piece] + _RUN * number
+        ends = np.minimum(starts + _RUN, grams.ends[piece])
+        begins = np.maximum(first, starts - (grams.order - 1))
+        return np.bincount(piece, self.read(grams.tokens, begins, starts, ends), len(own))
 
 
 _SCORE_SQL = (
@@ -349,11 +385,6 @@ def _scoring(order: int, prior: float, corpus: _Corpus) -> Callable:
         tokens, piece = grams.tokens[grams.own], grams.piece[grams.own]
         base = np.bincount(piece, model.word_logs[tokens], n)
         known = np.bincount(piece, totals[0][tokens] > 0, n).astype(np.int64)
-        scores = []
-        for end, size, lead in zip(grams.ends.tolist(), grams.sizes.tolist(), grams.leads.tolist(), strict=True):
-            words = grams.tokens[end - size : end].tolist()
-            _, state = model.read(words[:lead])
-            scores.append(model.read(words[lead:], state)[0])
         columns = [
             pa.array(_numbers(row["doc_rows"], "<i8")),
             pa.array(row["doc_ids"], pa.int64()),
@@ -361,7 +392,7 @@ def _scoring(order: int, prior: float, corpus: _Corpus) -> Callable:
             pa.array((grams.sizes - grams.leads).astype(np.int64)),
             pa.array(known),
             pa.array(base),
-            pa.array(scores, pa.float64()),
+            pa.array(model.read_pieces(grams)),
         ]
         return pa.table(columns, names=[c.split()[0] for c in _SCORE_SQL.split(", ")])
 

@@ -1,0 +1,122 @@
+"""Scores of the backoff automaton against a plain model, for every length of n-gram."""
+
+import zlib
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from headway.llm import backoff
+from headway.llm.queries import QUERIES
+from tests.conftest import SMALL
+from tests.llm import brute
+
+
+def _texts(folder):
+    rows = pq.read_table(f"{folder}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    # Rows may repeat an id: they are told apart by their place.
+    return [(i, r["doc_id"], r["text"]) for i, r in enumerate(rows)]
+
+
+def _trained(doc_id):
+    return doc_id is None or zlib.crc32(str(doc_id).encode()) % 10 != 0
+
+
+@pytest.mark.parametrize("which", ["small", "odd"])
+def test_query_equals_plain_model(spark, odd, which):
+    folder = SMALL if which == "small" else odd
+    rows = _texts(folder)
+    trained = {i for i, doc_id, _ in rows if _trained(doc_id)}
+    want, total = brute.backoff([(i, t) for i, _, t in rows], trained, 2, 500.0)
+    expected = sorted(
+        (str(doc_id), i not in trained, *want[i][:2], *np.round(want[i][2:], 6)) for i, doc_id, _ in rows
+    )
+    found = QUERIES["op11_backoff"](spark, folder).collect()
+    assert {r["train_tokens"] for r in found} == {total}
+    got = sorted(
+        (str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"],
+         *np.round((r["base_score"], r["score"]), 6)) for r in found
+    )
+    assert [g[:4] for g in got] == [e[:4] for e in expected]
+    assert np.allclose([g[4:] for g in got], [e[4:] for e in expected], atol=1e-5)
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_orders(spark, order):
+    texts = [t for _, _, t in _texts(SMALL)[:25]] + ["a b a b a b c", "", None, "A B\ta  b"]
+    rows = [(i, t[:1500] if t else t) for i, t in enumerate(texts)]
+    trained = {i for i, _ in rows if i % 4}
+    want, _ = brute.backoff(rows, trained, order, 3.0)
+    # Partitions are blocks of their own, which answer each other.
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = backoff.score_texts(frame, F.col("doc_id") % 4 != 0, order, 3.0).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        tokens, known, base, score = want[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"]) == (tokens, known)
+        assert abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 1e-6
+
+
+@pytest.mark.parametrize("size", [3, 7, 100, 10_000])
+def test_cutting_keeps_all_words(size):
+    for text in ("", None, " a  b", "one two\tthree " * 40, "x" * 500 + " y", "\n" * 50):
+        got = list(_cut_with(text, 3, size))
+        assert [w.decode() for _, some, _, _ in got for w in some] == _plain_words(text)
+        assert [ends for _, _, ends, _ in got] == [False] * (len(got) - 1) + [True]
+
+
+def _plain_words(text):
+    return [w.decode() for w in (text or "").encode().lower().split()]
+
+
+def _cut_with(text, order, size):
+    before, backoff._PIECE = backoff._PIECE, size
+    try:
+        yield from backoff._cut(text, order)
+    finally:
+        backoff._PIECE = before
+
+
+@pytest.mark.parametrize("run", [1, 2, 3, 512])
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_state_goes_from_piece_to_piece(monkeypatch, order, run):
+    monkeypatch.setattr(backoff, "_RUN", run)
+    # One block by hand: pieces of 20 bytes lead in with the words before them.
+    texts = ["the cat sat on the mat and the cat sat again", "a cat sat on the mat", ""]
+    whole, cut = backoff._Block(), backoff._Block()
+    for block, size in ((whole, 1 << 20), (cut, 20)):
+        for i, text in enumerate(texts):
+            for lead, words, ends, n in _cut_with(text, order, size):
+                block.add(i, i, i != 1, lead, words, ends, n)
+    scores = []
+    for block in (whole, cut):
+        row = block.row(0).to_pylist()[0]
+        grams = backoff._Ngrams(row, order)
+        totals = [o.trained for o in grams.orders]
+        seen = totals[0].copy()
+        corpus = backoff._Corpus(int(seen.sum()), int((seen > 0).sum()), row["n_trained"])
+        model = backoff.Automaton(grams.orders, totals, corpus, 2.0)
+        sums = dict.fromkeys(range(len(texts)), 0.0)
+        for i, score in zip(block.rows, model.read_pieces(grams).tolist(), strict=True):
+            sums[i] += score
+        scores.append(sums)
+    assert len(cut.rows) > len(whole.rows) == 3
+    assert np.allclose(list(scores[0].values()), list(scores[1].values()))
+    want, _ = brute.backoff(list(enumerate(texts)), {0, 2}, order, 2.0)
+    assert np.allclose(list(scores[0].values()), [want[i][3] for i in range(3)])
+
+
+def test_without_training_texts(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    found = backoff.score_texts(rows, F.lit(False)).collect()
+    assert sorted(tuple(r)[:5] for r in found) == [(1, False, 3, 0, 0), (2, False, 1, 0, 0)]
+    assert all(r["base_score"] == 0 and r["score"] == 0 for r in found)
+
+
+def test_better_than_words_alone_on_texts_held_out(spark):
+    folder = SMALL.replace("sf0.001", "sf0.01")
+    held = [r for r in QUERIES["op11_backoff"](spark, folder).collect() if r["held_out"]]
+    tokens = sum(r["n_tokens"] for r in held)
+    gain = sum(r["score"] - r["base_score"] for r in held) / tokens
+    assert gain > 0.1
