@@ -138,6 +138,11 @@ def trip_update_state(feed: DataFrame) -> DataFrame:
     return keep_last(updates, ["feed_timestamp", "trip_id"], "entity_index")
 
 
+def newest_trip_states(states: DataFrame) -> DataFrame:
+    """The newest of the states of :func:`trip_update_state` per trip, over all snapshots."""
+    return keep_last(states, ["trip_id"], "feed_timestamp", "entity_index")
+
+
 def stop_update_rows(state: DataFrame) -> DataFrame:
     """The stop updates of :func:`trip_update_state` as rows, in feed order."""
     return state.select(

@@ -146,6 +146,10 @@ def board_vehicles(vehicles: DataFrame, context: DataFrame) -> DataFrame:
     not repeat its vehicle.
     """
     known = context.withColumnRenamed("trip_id", "_trip").withColumnRenamed("route_id", "_route")
+    # The context is cut down to the running trips before the outer join, whose
+    # preserved side could not be broadcast.
+    running = vehicles.select(_trip_number(vehicles).alias("_trip")).distinct()
+    known = known.join(running, "_trip", "left_semi")
     joined = vehicles.join(known, _trip_number(vehicles) == known["_trip"], "left").select(
         "vehicle_id",
         "trip_id",
@@ -165,14 +169,20 @@ def board_vehicles(vehicles: DataFrame, context: DataFrame) -> DataFrame:
 
 
 def next_stop_by_trip(updates: DataFrame, now: int | Column) -> DataFrame:
-    """The earliest stop not yet passed, per trip; feed order settles ties."""
+    """The earliest stop not yet passed, per trip; feed order settles ties.
+
+    Of several snapshots, each trip's newest counts.
+    """
     moment = now if isinstance(now, Column) else F.lit(now)
     event_time = F.coalesce(
         F.nullif("arrival_time", F.lit(0)), F.nullif("departure_time", F.lit(0))
     )
+    numbered = updates.withColumn("_trip", F.col("trip_id").try_cast("bigint"))
+    if "feed_timestamp" in updates.columns:
+        newest = F.max("feed_timestamp").over(Window.partitionBy("_trip"))
+        numbered = numbered.withColumn("_newest", newest).filter("feed_timestamp = _newest")
     coming = (
-        updates.withColumn("event_time", event_time)
-        .withColumn("_trip", F.col("trip_id").try_cast("bigint"))
+        numbered.withColumn("event_time", event_time)
         .filter((F.col("event_time") >= moment) & F.col("_trip").isNotNull())
     )
     nearest = keep_first(coming, ["_trip"], "event_time", "update_index")
@@ -196,9 +206,10 @@ def with_next_stop(
         F.col("stop_name").alias("_stop_name"),
     )
     key = ["_trip", "stop_sequence"]
-    # The timetable is cut down to the few stops ahead before the outer join,
-    # whose preserved side could not be broadcast.
-    ahead = keep_last(places.join(coming.select(*key), key, "left_semi"), key, "next_stop_id")
+    # The timetable is cut down to the trips at hand before the outer join, whose
+    # preserved side could not be broadcast; by trip alone, as its buckets are.
+    running = places.join(coming.select("_trip"), "_trip", "left_semi")
+    ahead = keep_last(running.join(coming.select(*key), key, "left_semi"), key, "next_stop_id")
     resolved = coming.join(ahead, key, "left").withColumn("_matched", F.lit(True))
     matched = F.col("_matched").isNotNull()
     stop_name = F.coalesce(

@@ -12,6 +12,7 @@ from headway.constants import SCOPE_AGENCIES
 from headway.operators import reliability as rel
 from headway.operators.flatten import trip_update_rows, typed_observations
 from headway.operators.history import HISTORY_TABLE, append_new_snapshots, dedupe_observations
+from headway.operators.live import trip_context, trip_stops
 from headway.operators.observations import canonical_events, stop_observations
 from headway.operators.propagation import (
     delay_propagation_events,
@@ -36,10 +37,10 @@ def run_static(
     catalog: Catalog,
     agencies: Iterable[int] = SCOPE_AGENCIES,
 ) -> dict[str, DataFrame]:
-    """Timetable files to the four static tables.
+    """Timetable files to the four static tables and the two of the live board.
 
     Each table is written once and read back as the input of the next, so no
-    step is computed twice.
+    step is computed twice. The board's tables cover all trips of the files.
     """
     raw = {name: read_timetable(spark, folder, name) for name in ("routes", "trips", "stops")}
     stop_times = read_timetable(spark, folder, "stop_times")
@@ -47,9 +48,33 @@ def run_static(
     trips = catalog.replace(trips_in_scope(raw["trips"], routes), "trips")
     events = catalog.replace(stop_events_in_scope(stop_times, trips), "stop_events")
     stops = catalog.replace(stops_in_use(raw["stops"], events), "stops")
+    write_board_tables(raw["trips"], raw["routes"], stop_times, raw["stops"], catalog)
     return {"routes": routes, "trips": trips, "stop_events": events, "stops": stops}
 
 
+# What the live board needs of the timetable, by trip.
+TRIP_CONTEXT = "trip_context"
+TRIP_STOPS = "trip_stops"
+
+
+def write_board_tables(
+    trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stops: DataFrame, catalog: Catalog
+) -> dict[str, DataFrame]:
+    """Store context and stops of every trip, bucketed by trip.
+
+    The board's batches then neither aggregate nor shuffle the timetable: running trips are
+    few and are broadcast to it, or, when they are many, are dealt to its buckets.
+    """
+    buckets = int(catalog.spark.conf.get("spark.sql.shuffle.partitions"))
+    frames = {
+        TRIP_CONTEXT: trip_context(trips, routes, stop_times, stops),
+        TRIP_STOPS: trip_stops(stop_times, stops),
+    }
+    return {
+        name: catalog.replace_bucketed(df, name, "trip_id", buckets) for name, df in frames.items()
+    }
+
+
 def observations_of(payloads: DataFrame, trips: DataFrame, strict: bool = True) -> DataFrame:
     """Landed payloads to deduplicated observations in scope.
 

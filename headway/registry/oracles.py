@@ -337,6 +337,35 @@ VIEWS["live_board"] = (
     _READS,
 )
 
+VIEWS["snapshot_rows"] = (
+    f"select * replace ({t.SNAPSHOT_TIME} as feed_timestamp) from realtime",
+    ["realtime"],
+)
+VIEWS["scoped_snapshots"] = (
+    VIEWS["scoped_realtime"][0].replace("from realtime", "from snapshot_rows"),
+    ["snapshot_rows", "trips"],
+)
+VIEWS["deduped_snapshots"] = (
+    VIEWS["deduped"][0].replace("scoped_realtime", "scoped_snapshots"),
+    ["scoped_snapshots"],
+)
+# What the live feeds leave: trips of the second snapshot are late, those of the first gone.
+VIEWS["feed_updates"] = (
+    f"select * replace (arrival_time + late as arrival_time, departure_time + late as"
+    f" departure_time) from (select *, case trip_id % 3 when 0 then 600 else 0 end as late,"
+    f" case trip_id % 3 when 0 then {t.UPDATE_TIMES[1]} else {t.UPDATE_TIMES[2]} end"
+    " as feed_timestamp from updates where trip_id % 3 < 2)",
+    ["updates"],
+)
+VIEWS["feed_coming"] = (
+    VIEWS["coming"][0].replace("from updates", "from feed_updates"),
+    ["feed_updates"],
+)
+VIEWS["feed_board"] = (
+    VIEWS["live_board"][0].replace("join coming", "join feed_coming"),
+    ["board", "feed_coming", "trip_stops"],
+)
+
 
 def query(body: str, *reads: str) -> str:
     """``body`` with the views it reads, and theirs, in front."""
@@ -782,6 +811,12 @@ def oracle_queries() -> dict[str, str]:
         "trip_stop_places": view("trip_stops"),
         "vehicle_context": view("board"),
         "next_stops": view("live_board"),
+        "next_stops_from_stored": view("live_board"),
+        "live_board_from_feeds": query(
+            "select * replace (cast(latitude as float) as latitude,"
+            " cast(longitude as float) as longitude) from feed_board",
+            "feed_board",
+        ),
         "vehicle_cards": query(
             "select vehicle_id, route_short_name || ' → ' || destination as title,"
             " upper(transport_mode[1]) || lower(transport_mode[2:]) as subtitle,"
@@ -944,6 +979,51 @@ def oracle_queries() -> dict[str, str]:
             " where trip_id is not null and latitude is not null",
             "vehicles",
         ),
+        "archive_rows": query(f"select {_HISTORY_COLUMNS} from snapshot_rows", "snapshot_rows"),
+        "archive_files": query(
+            "select cast(date '2024-01-01' + cast(h // 24 as int) as date) as ingestion_date,"
+            " cast(h % 24 as int) as hour, count(*) as files, count(*) as same_bytes"
+            " from (select distinct feed_timestamp, (feed_timestamp % 172800) // 3600 as h"
+            " from snapshot_rows) group by 1, 2",
+            "snapshot_rows",
+        ),
+        "snapshot_scan": query(
+            "select cast(date '1970-01-01' + cast(feed_timestamp // 86400 as int) as date)"
+            " as ingestion_date, cast(feed_timestamp % 86400 // 3600 as int) as hour,"
+            " feed_timestamp, count(distinct (trip_id, start_date)) as entities,"
+            " count(*) as stop_updates from snapshot_rows group by feed_timestamp",
+            "snapshot_rows",
+        ),
+        "latest_snapshot": query(
+            f"select {_HISTORY_COLUMNS} from snapshot_rows"
+            " where feed_timestamp = (select max(feed_timestamp) from snapshot_rows)",
+            "snapshot_rows",
+        ),
+        **{
+            name: query(
+                f"select {_HISTORY_COLUMNS}, {_FEED_DATE} from deduped_snapshots",
+                "deduped_snapshots",
+            )
+            for name in ("stream_snapshots", "realtime_job")
+        },
+        "stop_update_state": query(
+            "select feed_timestamp, cast(trip_id as varchar) as trip_id,"
+            " cast(row_number() over (partition by trip_id order by update_index) - 1 as int)"
+            " as update_index, stop_sequence, cast(null as varchar) as stop_id,"
+            " arrival_time, arrival_delay, departure_time, departure_delay from ("
+            " select * exclude (late) from feed_updates union all by name"
+            f" select *, {t.UPDATE_TIMES[0]} as feed_timestamp from updates where trip_id % 3 = 2)",
+            "feed_updates",
+            "updates",
+        ),
+        "handshake_of_feed": query(
+            "select count(*) as realtime_trip_ids, count(k) as matched,"
+            f" count(*) - count(k) as unmatched, {half_up('100 * count(k)', 'count(*)')}"
+            " as match_rate from (select distinct trip_id from realtime) r left join"
+            " (select distinct cast(trip_id as varchar) as k from trips) t on r.trip_id = t.k",
+            "realtime",
+            "trips",
+        ),
         "archive_layout": query(
             "select cast(date '2024-01-01' + cast(h // 24 as int) as date) as ingestion_date,"
             " cast(h % 24 as int) as hour, count(*) as payloads"

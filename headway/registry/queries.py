@@ -16,7 +16,11 @@ from headway.operators import live, quality
 from headway.operators import observations as obs
 from headway.operators import reliability as rel
 from headway.operators.flatten import (
+    feed_trip_ids,
+    newest_trip_states,
+    stop_update_rows,
     trip_update_rows,
+    trip_update_state,
     typed_observations,
     vehicle_rows,
     vehicles_by_id,
@@ -34,13 +38,33 @@ from headway.operators.history import (
 from headway.operators.propagation import delay_propagation_events, route_delay_propagation
 from headway.operators.scope import observations_in_scope
 from headway.plans import reports
-from headway.plans.jobs import build_gold, gold_frames
+from headway.plans.jobs import (
+    TRIP_CONTEXT,
+    TRIP_STOPS,
+    build_gold,
+    gold_frames,
+    run_realtime,
+    write_board_tables,
+)
 from headway.registry import tables as t
-from headway.registry.encode import payloads_of, vehicle_payloads_of
+from headway.registry.encode import (
+    history_snapshots,
+    payloads_of,
+    update_snapshots,
+    vehicle_payloads_of,
+    vehicle_snapshots,
+)
 from headway.session import configure, new_folder
 from headway.sources.feed import decode_feed, require_feed
+from headway.sources.payload_files import write_payload_files
 from headway.sources.publish import parquet_sink, publish, read_published
-from headway.sources.snapshots import archive_snapshots
+from headway.sources.snapshots import (
+    archive_files,
+    archive_snapshots,
+    landing_file,
+    latest_snapshot,
+    read_snapshots,
+)
 from headway.sources.tables import FolderCatalog
 from headway.sources.timetable import read_timetable
 from headway.streaming import history as stream_history
@@ -331,6 +355,16 @@ _over(catalog_of_routes, lambda df: df, "route_catalog")
 _over(catalog_of_routes, lambda df: live.route_search(df, " Urgent "), "route_search")
 
 
+@registered("next_stops_from_stored")
+def _stored_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board on the stored tables of the static job."""
+    raw = t.raw_timetable(spark, sf_dir)
+    catalog = FolderCatalog(spark, new_folder(spark, "board-tables"))
+    stored = write_board_tables(raw["trips"], raw["routes"], raw["stop_times"], raw["stops"], catalog)
+    rows = live.board_vehicles(board_vehicle_rows(spark, sf_dir), stored[TRIP_CONTEXT])
+    return live.with_next_stop(rows, t.updates(spark, sf_dir), stored[TRIP_STOPS], t.NOW)
+
+
 @registered("observed_catalog")
 def _observed_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = live.observed_routes(board(spark, sf_dir))
@@ -457,6 +491,65 @@ def _decode_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vehicle_rows(feed).drop("entity_index")
 
 
+def landed(spark: SparkSession, sf_dir: str) -> str:
+    """A landing folder with a file per snapshot, of hundreds of entities each."""
+    base = new_folder(spark, "landing")
+    files = history_snapshots(t.snapshot_rows(spark, sf_dir))
+    name = F.concat(F.lit("trip_updates_"), F.col("feed_timestamp").cast("string"), F.lit(".pb"))
+    at = F.timestamp_seconds("feed_timestamp")
+    write_payload_files(files.select(landing_file(name, at).alias("file"), "content"), base)
+    return base
+
+
+def decoded_files(files: DataFrame) -> DataFrame:
+    return typed_observations(trip_update_rows(require_feed(decode_feed(files))))
+
+
+@registered("snapshot_scan")
+def _snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = read_snapshots(spark, landed(spark, sf_dir))
+    feed = decode_feed(files).select(
+        "path",
+        F.col("header.timestamp").alias("feed_timestamp"),
+        F.size("entity").cast("long").alias("entities"),
+        F.aggregate(
+            "entity",
+            F.lit(0).cast("long"),
+            lambda n, e: n + F.size(e["trip_update"]["stop_time_update"]),
+        ).alias("stop_updates"),
+    )
+    folders = files.select("path", "ingestion_date", F.col("hour").cast("int").alias("hour"))
+    return folders.join(feed, "path").drop("path")
+
+
+@registered("latest_snapshot")
+def _latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decoded_files(latest_snapshot(spark, landed(spark, sf_dir)))
+
+
+@registered("stream_snapshots")
+def _stream_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files to the history, some files a batch."""
+    folder = new_folder(spark, "stream-snapshots")
+    catalog = FolderCatalog(spark, folder)
+    trips = t.scoped_static(spark, sf_dir)["trips"]
+    files = stream_history.snapshot_stream(spark, landed(spark, sf_dir), files_per_batch=50)
+    rows = stream_history.observation_stream(files, trips)
+    _finish(stream_history.start_history(rows, catalog, f"{folder}/checkpoint"))
+    return read_history(catalog)
+
+
+@registered("realtime_job")
+def _realtime_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job over landed files: one day, then all of them."""
+    catalog = FolderCatalog(spark, new_folder(spark, "realtime-job"))
+    catalog.replace(t.scoped_static(spark, sf_dir)["trips"], "trips")
+    base = landed(spark, sf_dir)
+    run_realtime(read_snapshots(spark, base).filter("ingestion_date = '2024-01-02'"), catalog)
+    run_realtime(read_snapshots(spark, base), catalog)
+    return read_history(catalog)
+
+
 @registered("archive_layout")
 def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = payloads_of(t.feed_rows(spark, sf_dir))
@@ -466,6 +559,43 @@ def _archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived.groupBy("ingestion_date", "hour").agg(F.count("*").alias("payloads"))
 
 
+@registered("archive_files")
+def _archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archived files by folder, and how many still hold the bytes that they were named after."""
+    payloads = history_snapshots(t.snapshot_rows(spark, sf_dir))
+    at = F.timestamp_seconds(F.lit(t.NOW) + F.col("feed_timestamp") % 172800)
+    name = F.concat(F.sha2("content", 256), F.lit(".pb"))
+    archived = archive_files(payloads, new_folder(spark, "archive"), at, name)
+    same = F.endswith("path", F.concat(F.lit("/"), F.sha2("content", 256), F.lit(".pb")))
+    return archived.groupBy(
+        F.col("ingestion_date").cast("date").alias("ingestion_date"),
+        F.col("hour").cast("int").alias("hour"),
+    ).agg(F.count("*").alias("files"), F.count_if(same).alias("same_bytes"))
+
+
+@registered("archive_rows")
+def _archive_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads kept as table rows; their content decoded again."""
+    files = history_snapshots(t.snapshot_rows(spark, sf_dir))
+    base = new_folder(spark, "archive-rows")
+    return decoded_files(archive_snapshots(files, base, F.timestamp_seconds("feed_timestamp")))
+
+
+@registered("stop_update_state")
+def _stop_update_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest stop updates of each trip over three live snapshots."""
+    rows = [t.live_updates(spark, sf_dir, i) for i in range(3)]
+    files = update_snapshots(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+    feed = decode_feed(files.withColumn("path", F.lit("x")))
+    return stop_update_rows(newest_trip_states(trip_update_state(feed)))
+
+
+@registered("handshake_of_feed")
+def _handshake_of_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = read_snapshots(spark, landed(spark, sf_dir))
+    return quality.handshake(feed_trip_ids(decode_feed(files)), t.scoped_static(spark, sf_dir)["trips"])
+
+
 @registered("publish_reconcile")
 def _publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = gold(spark, sf_dir)
@@ -543,3 +673,53 @@ def _stream_board(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return stream_live.read_last_batch(spark, rows).drop("board_time")
+
+
+@registered("live_board_from_feeds")
+def _board_from_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live job over landed files of both feeds, in three batches.
+
+    The second batch has the newest vehicles and updates; the third one is late: older
+    vehicles, and older updates of every trip.
+    """
+    folder = new_folder(spark, "live-job")
+    raw = t.raw_timetable(spark, sf_dir)
+    catalog = FolderCatalog(spark, f"{folder}/tables")
+    stored = write_board_tables(raw["trips"], raw["routes"], raw["stop_times"], raw["stops"], catalog)
+    vehicles = t.vehicles(spark, sf_dir)
+    days = (F.col("feed_timestamp") / 86400).cast("long")
+    last = live.latest_value(vehicles, "feed_timestamp")
+    newest, before = F.col("feed_timestamp") == last, F.col("feed_timestamp") < last
+    stale = t.live_updates(spark, sf_dir, 1).unionByName(t.live_updates(spark, sf_dir, 2))
+    stale = stale.withColumn("feed_timestamp", F.lit(t.UPDATE_TIMES[0] - 7))
+    batches = [
+        (before & (days % 2 == 0), [t.live_updates(spark, sf_dir, i) for i in (0, 1)]),
+        (newest, [t.live_updates(spark, sf_dir, 2)]),
+        (before & (days % 2 == 1), [stale]),
+    ]
+    for shown, updates in batches:
+        for part, files in (
+            ("vehicle_positions", vehicle_snapshots(vehicles.filter(shown))),
+            *(("trip_updates", update_snapshots(rows)) for rows in updates),
+        ):
+            name = F.concat(F.col("feed_timestamp").cast("string"), F.lit(".pb"))
+            place = landing_file(name, F.timestamp_seconds("feed_timestamp"))
+            write_payload_files(
+                files.select(place.alias("file"), "content"), f"{folder}/landing/{part}"
+            )
+        streams = [
+            stream_history.snapshot_stream(spark, f"{folder}/landing/{part}")
+            for part in ("vehicle_positions", "trip_updates")
+        ]
+        _finish(
+            stream_live.start_live_job(
+                streams[0].unionByName(streams[1]),
+                stored[TRIP_CONTEXT],
+                stored[TRIP_STOPS],
+                lambda: t.NOW,
+                f"{folder}/board",
+                f"{folder}/checkpoint",
+                keep_seconds=t.KEEP_SECONDS,
+            )
+        )
+    return stream_live.read_board(spark, f"{folder}/board")

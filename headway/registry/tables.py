@@ -143,6 +143,15 @@ VEHICLES = [
 _UPDATE_TIME = (
     f"min({NOW} - 900 + l_linenumber * 300 + (cast(l_quantity as bigint) * 37) % 600)"
 )
+# Snapshots of a day's rows, each at an hour of its own.
+SNAPSHOT_TIME = (
+    "feed_timestamp - feed_timestamp % 86400"
+    " + cast(floor(feed_timestamp / 86400) as bigint) % 24 * 3600"
+)
+# Live stop updates come in three snapshots; a third of the trips is in the first, the second,
+# or the second and the third one. Times of the second are ten minutes late.
+UPDATE_TIMES = (NOW - 900, NOW - 60, NOW - 30)
+KEEP_SECONDS = 300
 # Grouped by order and line.
 UPDATES = [
     "l_orderkey as trip_id",
@@ -289,6 +298,22 @@ def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.selectExpr(*UPDATES[:3], *grouped.columns[2:])
 
 
+def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed rows as a snapshot a day brings them."""
+    return feed_rows(spark, sf_dir).withColumn("feed_timestamp", F.expr(SNAPSHOT_TIME))
+
+
+def live_updates(spark: SparkSession, sf_dir: str, snapshot: int) -> DataFrame:
+    """Stop updates of one of the three live snapshots."""
+    rows = updates(spark, sf_dir).withColumn("feed_timestamp", F.lit(UPDATE_TIMES[snapshot]))
+    shown = F.col("trip_id") % 3 == (2, 0, 1)[snapshot]
+    if snapshot == 1:
+        shown |= F.col("trip_id") % 3 == 1
+        late = {c: F.col(c) + 600 for c in ("arrival_time", "departure_time")}
+        rows = rows.withColumns(late)
+    return rows.filter(shown)
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Instants as epoch seconds, so results do not depend on a time zone."""
     return df.select(

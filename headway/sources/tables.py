@@ -64,6 +64,16 @@ class Catalog:
         self._save(writer.option("overwriteSchema", "true"), table)
         return self.read(table)
 
+    def replace_bucketed(self, df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+        """Replace a table with ``df`` in buckets of ``key``, one file each, sorted by it.
+
+        Joins on the key read the buckets side by side without a shuffle of the table.
+        """
+        dealt = df.repartition(buckets, key)
+        writer = dealt.write.format(self.fmt).mode("overwrite").bucketBy(buckets, key).sortBy(key)
+        writer.saveAsTable(self.name(table))
+        return self.read(table)
+
     def replace_parts(
         self,
         df: DataFrame,
@@ -139,6 +149,12 @@ class FolderCatalog(Catalog):
     def _save(self, writer: DataFrameWriter, table: str) -> None:
         writer.save(self.name(table))
 
+    def replace_bucketed(self, df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+        # Buckets need a metastore; sorted files still let a scan skip by the key's range.
+        shaped = df.repartitionByRange(buckets, key).sortWithinPartitions(key)
+        shaped.write.format(self.fmt).mode("overwrite").save(self.name(table))
+        return self.read(table)
+
     def drop_parts(self, table: str, parts: Sequence[Mapping[str, object]]) -> None:
         # A folder is emptied by writing no rows over it.
         if not parts:
