@@ -21,6 +21,7 @@ from headway.llm.queries import QUERIES
 from headway.llm.quality import fit_network
 from headway.llm.secret_scan import base_spans, redact, scan_text
 from headway.llm.token_shards import build_hash, key_hashes, slots_of
+from headway.llm.topk import top_k
 from tests.conftest import SMALL
 from tests.llm import brute
 from tests.llm.conftest import odd_documents
@@ -180,7 +181,7 @@ def test_packing(spark, odd, which):
 
 def test_top_k(spark, odd):
     vectors = {i: [int(np.floor(64 * x)) for x in (float(i % 7), -1.5)] for i in range(60)}
-    vectors[160] = [1 << 26, 32]
+    vectors[160] = [64 * int(float(np.float32(1e30))), 32]
     rows = _rows(spark, "op9_top_k", odd)
     got = {}
     for r in sorted(rows, key=lambda r: r["rank"]):
@@ -190,10 +191,27 @@ def test_top_k(spark, odd):
     everything = [*vectors.items()] + [(20, vectors[20])]
     for q, v in queries.items():
         scores = [(i, sum(a * b for a, b in zip(v, w, strict=True))) for i, w in everything if i != q]
-        assert got[q] == sorted(scores, key=lambda s: (-s[1], s[0]))[:20]
+        best = sorted(scores, key=lambda s: (-s[1], s[0]))[:20]
+        most = (1 << 63) - 1
+        assert got[q] == [(i, max(-most - 1, min(most, s))) for i, s in best]
     assert 100 not in got and 200 not in got
 
 
+def test_top_k_counts_large_components_exactly(spark):
+    numbers = [1.0, -3.0, 2.0**22, 2.0**23, 2.0**40 + 1, 2.0**55, 2.0**55 + 8, 1e300, -1e300, 5e-3]
+    vectors = [(i, [x, y]) for i, x in enumerate(numbers) for y in (x, 0.25)]
+    vectors = [(n, v) for n, (_, v) in enumerate(vectors)] + [(99, [1e308, 1e308])]
+    frame = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    rows = top_k(frame, frame, k=7).collect()
+    exact = {i: [int(np.floor(64 * x)) if abs(x) < 2**53 else 64 * int(x) for x in v] for i, v in vectors}
+    want = brute.top_k(exact, exact, 7)
+    most = (1 << 63) - 1
+    got = {}
+    for r in sorted(rows, key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+    assert got == {q: [(i, max(-most - 1, min(most, s))) for i, s in best] for q, best in want.items()}
+
+
 def test_secrets(spark, odd):
     for folder in (SMALL, odd):
         texts = _documents(folder)
