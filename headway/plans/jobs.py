@@ -12,6 +12,15 @@ from headway.constants import SCOPE_AGENCIES
 from headway.operators import reliability as rel
 from headway.operators.flatten import trip_update_rows, typed_observations
 from headway.operators.history import HISTORY_TABLE, append_new_snapshots, dedupe_observations
+from headway.operators.ids import (
+    DICTIONARY,
+    extend_dictionary,
+    id_texts,
+    numbered,
+    numbered_texts,
+    numbers_of,
+    read_dictionary,
+)
 from headway.operators.live import trip_context, trip_stops
 from headway.operators.observations import canonical_events, stop_observations
 from headway.operators.propagation import (
@@ -35,15 +44,24 @@ def run_static(
     spark: SparkSession,
     folder: str,
     catalog: Catalog,
-    agencies: Iterable[int] = SCOPE_AGENCIES,
+    agencies: Iterable[int | str] = SCOPE_AGENCIES,
+    text_ids: bool = False,
 ) -> dict[str, DataFrame]:
     """Timetable files to the four static tables and the two of the live board.
 
     Each table is written once and read back as the input of the next, so no
     step is computed twice. The board's tables cover all trips of the files.
+    With ``text_ids`` ids may be any texts; the catalog's dictionary numbers them,
+    and the realtime job of this catalog numbers those of the feeds alike.
     """
-    raw = {name: read_timetable(spark, folder, name) for name in ("routes", "trips", "stops")}
-    stop_times = read_timetable(spark, folder, "stop_times")
+    files = ("routes", "trips", "stops", "stop_times")
+    raw = {name: read_timetable(spark, folder, name, text_ids=text_ids) for name in files}
+    if text_ids:
+        extend_dictionary(catalog, *(id_texts(df) for df in raw.values()))
+        dictionary = read_dictionary(catalog)
+        raw = {name: numbered(df, dictionary) for name, df in raw.items()}
+        agencies = numbers_of(dictionary, "agency", agencies)
+    stop_times = raw["stop_times"]
     routes = catalog.replace(routes_in_scope(raw["routes"], agencies), "routes")
     trips = catalog.replace(trips_in_scope(raw["trips"], routes), "trips")
     events = catalog.replace(stop_events_in_scope(stop_times, trips), "stop_events")
@@ -75,15 +93,24 @@ def write_board_tables(
     }
 
 
-def observations_of(payloads: DataFrame, trips: DataFrame, strict: bool = True) -> DataFrame:
+def observations_of(
+    payloads: DataFrame,
+    trips: DataFrame,
+    strict: bool = True,
+    dictionary: DataFrame | None = None,
+) -> DataFrame:
     """Landed payloads to deduplicated observations in scope.
 
+    ``dictionary`` numbers the ids of feeds whose timetable has text ids.
+
     ``strict`` fails on a feed without a header time or usable stop update. A
     backfill turns it off, so that one empty night snapshot does not stop it.
     """
     feed = decode_feed(payloads)
     checked = require_feed(feed) if strict else feed.filter("header.timestamp is not null")
     typed = typed_observations(trip_update_rows(checked))
+    if dictionary is not None:
+        typed = numbered_texts(typed, dictionary)
     return dedupe_observations(observations_in_scope(typed, trips))
 
 
@@ -95,7 +122,8 @@ def run_realtime(
     ``payloads`` is any frame with ``path`` and ``content``: the newest
     snapshot, one ingestion day, or a whole archive.
     """
-    observations = observations_of(payloads, catalog.read("trips"), strict)
+    dictionary = read_dictionary(catalog) if catalog.exists(DICTIONARY) else None
+    observations = observations_of(payloads, catalog.read("trips"), strict, dictionary)
     append_new_snapshots(observations, catalog, table)
 
 

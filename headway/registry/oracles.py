@@ -366,6 +366,16 @@ VIEWS["feed_board"] = (
     ["board", "feed_coming", "trip_stops"],
 )
 
+# Gold over the snapshots of landed files.
+VIEWS["snapshot_observations"] = (
+    VIEWS["observations"][0].replace("from realtime", "from deduped_snapshots"),
+    [*(v for v in VIEWS["observations"][1] if v != "realtime"), "deduped_snapshots"],
+)
+VIEWS["snapshot_canonical"] = (
+    VIEWS["canonical"][0].replace("from observations", "from snapshot_observations"),
+    ["snapshot_observations"],
+)
+
 
 def query(body: str, *reads: str) -> str:
     """``body`` with the views it reads, and theirs, in front."""
@@ -987,6 +997,28 @@ def oracle_queries() -> dict[str, str]:
             " from snapshot_rows) group by 1, 2",
             "snapshot_rows",
         ),
+        "timetable_text_ids": query(
+            f"select {t.text_id('T', 'e.trip_id')} as trip_id, {t.text_id('R', 't.route_id')}"
+            f" as route_id, {t.text_id('S', 'e.stop_id')} as stop_id, stop_sequence,"
+            # An empty field of a file is a NULL.
+            " nullif(arrival_time_raw, '') as arrival_time_raw, departure_time_raw,"
+            " arrival_seconds, departure_seconds, trip_headsign, route_short_name, stop_name"
+            " from stop_events e join trips t on e.trip_id = t.trip_id join routes r"
+            " on t.route_id = r.route_id left join stops s on e.stop_id = s.stop_id",
+            "stop_events",
+            "trips",
+            "routes",
+            "stops",
+        ),
+        "gold_text_ids": query(
+            f"select * replace ({t.text_id('R', 'route_id')} as route_id,"
+            f" {t.text_id('S', 'stop_id')} as stop_id) from ("
+            + metrics(
+                "snapshot_canonical", f"{_ROUTE}, stop_id, stop_name", "stop_events"
+            )
+            + ")",
+            "snapshot_canonical",
+        ),
         "snapshot_scan": query(
             "select cast(date '1970-01-01' + cast(feed_timestamp // 86400 as int) as date)"
             " as ingestion_date, cast(feed_timestamp % 86400 // 3600 as int) as hour,"

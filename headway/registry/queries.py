@@ -35,6 +35,7 @@ from headway.operators.history import (
     read_history,
     with_feed_date,
 )
+from headway.operators.ids import read_dictionary, with_texts
 from headway.operators.propagation import delay_propagation_events, route_delay_propagation
 from headway.operators.scope import observations_in_scope
 from headway.plans import reports
@@ -44,6 +45,7 @@ from headway.plans.jobs import (
     build_gold,
     gold_frames,
     run_realtime,
+    run_static,
     write_board_tables,
 )
 from headway.registry import tables as t
@@ -478,6 +480,45 @@ def _timetable_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_timetable(spark, folder, "stop_times")
 
 
+def text_id_tables(spark: SparkSession, sf_dir: str) -> FolderCatalog:
+    """The static job over four files with text ids, twice, and the realtime job after it."""
+    folder = new_folder(spark, "text-ids")
+    catalog = FolderCatalog(spark, f"{folder}/lake")
+    for name, df in t.raw_timetable(spark, sf_dir).items():
+        writer = t.with_text_ids(df).write.option("header", True)
+        writer = writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        writer.csv(f"{folder}/gtfs/{name}.txt")
+    agencies = [f"A{n}" if n % 2 == 0 else str(n) for n in t.AGENCIES]
+    for _ in range(2):
+        run_static(spark, f"{folder}/gtfs", catalog, agencies, text_ids=True)
+    # Which of two rows of one key stays goes by the order of the ids: they are told apart first.
+    rows = dedupe_observations(t.snapshot_rows(spark, sf_dir))
+    files = history_snapshots(t.with_text_ids(rows))
+    run_realtime(files.withColumn("path", F.col("feed_timestamp").cast("string")), catalog)
+    return catalog
+
+
+@registered("timetable_text_ids")
+def _timetable_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scheduled stops in scope with their route and stop, by the texts of the files."""
+    catalog = text_id_tables(spark, sf_dir)
+    tables = catalog.silver()
+    rows = (
+        tables["stop_events"]
+        .join(tables["trips"].select("trip_id", "route_id", "trip_headsign"), "trip_id")
+        .join(tables["routes"].select("route_id", "route_short_name"), "route_id")
+        .join(tables["stops"].select("stop_id", "stop_name"), "stop_id", "left")
+    )
+    return with_texts(rows, read_dictionary(catalog))
+
+
+@registered("gold_text_ids")
+def _gold_text_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    catalog = text_id_tables(spark, sf_dir)
+    events = obs.canonical_events_from_history(catalog.silver())
+    return with_texts(rel.route_stop_reliability(events), read_dictionary(catalog))
+
+
 @registered("decode_flatten")
 def _decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = decode_feed(payloads_of(t.feed_rows(spark, sf_dir)))

@@ -291,6 +291,26 @@ def vehicles(spark: SparkSession, sf_dir: str, events: DataFrame | None = None)
     return source.selectExpr(*filled(VEHICLES, names))
 
 
+# Every other id is a text.
+def text_id(letter: str, column: str) -> str:
+    return (
+        f"case when {column} % 2 = 0 then '{letter}' || cast({column} as string)"
+        f" else cast({column} as string) end"
+    )
+
+
+ID_LETTERS = {"agency_id": "A", "route_id": "R", "trip_id": "T", "stop_id": "S"}
+
+
+def with_text_ids(df: DataFrame) -> DataFrame:
+    """A table of numbers with text ids; feed ids that are no number stay as they are."""
+    for name, letter in ID_LETTERS.items():
+        if name in df.columns:
+            text = F.expr(text_id(letter, f"try_cast({name} as bigint)"))
+            df = df.withColumn(name, F.coalesce(text, F.col(name).cast("string")))
+    return df
+
+
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, line = "l_orderkey", "l_linenumber"
     aggregated = [F.expr(text) for text in UPDATES[3:]]
