@@ -47,7 +47,7 @@ def ledger_name(table: str = HISTORY_TABLE) -> str:
 
 
 def read_ledger(catalog: Catalog, table: str = HISTORY_TABLE) -> DataFrame:
-    """The load that holds each finished snapshot: feed_timestamp, feed_date, load, entry."""
+    """Each finished snapshot with the load that holds it, its rows and NULLs by column."""
     entries = catalog.read(ledger_name(table))
     newest = Window.partitionBy("feed_timestamp").orderBy(F.desc("entry"))
     return entries.withColumn("_place", F.row_number().over(newest)).filter("_place = 1").drop("_place")
@@ -78,11 +78,17 @@ def _load_name(snapshots: DataFrame, prefix: str) -> str | None:
 def _enter(catalog: Catalog, table: str, load: str) -> None:
     """Make a load part of the history: one file, which is there or is not.
 
-    What is entered is what the load's own partitions hold by now.
+    What is entered is what the load's own partitions hold by now: its snapshots, and of
+    each the number of rows and of NULLs by column.
     """
     name = ledger_name(table)
     written = catalog.read(table).filter(F.col("load") == load)
-    snapshots = written.select("feed_timestamp", HISTORY_PARTITION).distinct()
+    columns = [c for c in written.columns if c not in ("feed_timestamp", *_LAYOUT)]
+    nulls = F.array(*[F.count_if(F.col(c).isNull()) for c in columns])
+    snapshots = written.groupBy("feed_timestamp", HISTORY_PARTITION).agg(
+        F.count("*").alias("rows"),
+        F.map_from_arrays(F.array(*map(F.lit, columns)), nulls).alias("nulls"),
+    )
     last = None
     if catalog.exists(name):
         last = catalog.read(name).agg(F.max("entry")).first()[0]

@@ -278,35 +278,86 @@ def sequence_issues(stop_events: DataFrame) -> DataFrame:
     return sequence_profile(stop_events).filter("min_sequence <> 1 or stop_count <> max_sequence")
 
 
-def sequence_check(stop_events: DataFrame) -> DataFrame:
-    found = sequence_issues(stop_events).agg(F.count("*").alias("trip_id"))
-    return _results(found, "sequence_issues", "stop_events")
+def _blank(name: str) -> Column:
+    return F.coalesce(F.trim(name) == "", F.lit(True))
 
 
-def time_checks(stop_events: DataFrame) -> DataFrame:
-    """Missing times, times past 24:00, and trips with fewer than two stops."""
+def _time_measures() -> dict[str, Column]:
+    day = 24 * 3600
+    return {
+        "missing arrival": _blank("arrival_time_raw"),
+        "missing departure": _blank("departure_time_raw"),
+        "arrival past 24:00": F.col("arrival_seconds") >= day,
+        "departure past 24:00": F.col("departure_seconds") >= day,
+    }
 
-    def blank(name: str) -> Column:
-        return F.coalesce(F.trim(name) == "", F.lit(True))
 
-    day = 24 * 3600
-    rows = stop_events.agg(
-        _count_if(blank("arrival_time_raw"), "missing arrival"),
-        _count_if(blank("departure_time_raw"), "missing departure"),
-        _count_if(F.col("arrival_seconds") >= day, "arrival past 24:00"),
-        _count_if(F.col("departure_seconds") >= day, "departure past 24:00"),
-    )
-    short = sequence_profile(stop_events).filter("stop_count < 2")
+def _time_ok() -> Column:
     # Times past 24:00 are legal; they are counted, not failed.
-    legal = (F.col("value") == 0) | F.col("subject").contains("past")
+    return (F.col("value") == 0) | F.col("subject").contains("past")
+
+
+def time_checks(stop_events: DataFrame) -> DataFrame:
+    """Missing times, times past 24:00, and trips with fewer than two stops."""
+    rows = stop_events.agg(*[_count_if(rule, name) for name, rule in _time_measures().items()])
+    short = sequence_profile(stop_events).filter("stop_count < 2")
     return all_results(
         [
-            _results(rows, "times", "stop_events", legal),
+            _results(rows, "times", "stop_events", _time_ok()),
             _results(short.agg(F.count("*").alias("trips below two stops")), "times", "stop_events"),
         ]
     )
 
 
+# Checks of a whole table that need no grouping: one pass, or none while it is written
+
+
+def whole_measures(table: str, columns: Mapping[str, Sequence[str]] = CRITICAL_COLUMNS) -> list[Column]:
+    """Row count, NULLs and times of a source table as aggregates named ``check/subject``."""
+    measures = [F.count("*").alias("row_count/rows")]
+    measures += [_count_if(F.col(c).isNull(), f"null_values/{c}") for c in columns[table]]
+    if table == "stop_events":
+        measures += [_count_if(rule, f"times/{name}") for name, rule in _time_measures().items()]
+    return measures
+
+
+def whole_results(measured: DataFrame, table: str) -> DataFrame:
+    """Result rows of a one-row frame of :func:`whole_measures`."""
+    long = measured.unpivot([], [F.col(f"`{n}`") for n in measured.columns], "name", "value")
+    value = F.col("value").cast("long")
+    named = long.select(
+        F.split_part("name", F.lit("/"), F.lit(1)).alias("check_name"),
+        F.lit(table).alias("table_name"),
+        F.split_part("name", F.lit("/"), F.lit(2)).alias("subject"),
+        F.coalesce(value, F.lit(0).cast("long")).alias("value"),
+    )
+    filled = F.col("value") > 0
+    passed = F.when(F.col("check_name") == "row_count", filled).otherwise(
+        F.when(F.col("check_name") == "times", _time_ok()).otherwise(F.col("value") == 0)
+    )
+    return named.withColumn("passed", passed)
+
+
+def whole_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The checks without grouping, one pass per table."""
+    return all_results(
+        [whole_results(df.agg(*whole_measures(name)), name) for name, df in tables.items()]
+    )
+
+
+def trip_checks(stop_events: DataFrame) -> DataFrame:
+    """Sequence issues and trips with fewer than two stops, from one profile of the trips."""
+    issue = (F.col("min_sequence") != 1) | (F.col("stop_count") != F.col("max_sequence"))
+    found = sequence_profile(stop_events).agg(
+        _count_if(issue, "trip_id"), _count_if(F.col("stop_count") < 2, "trips below two stops")
+    )
+    results = _results(found, "sequence_issues", "stop_events")
+    short = F.col("subject") != "trip_id"
+    return results.withColumn(
+        "check_name", F.when(short, F.lit("times")).otherwise(F.col("check_name"))
+    )
+
+
 def delay_profile(realtime: DataFrame) -> DataFrame:
     """Count, range and average of both delays."""
     return realtime.agg(
@@ -401,15 +452,19 @@ def reconcile(pairs: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
     return all_results([compare(name, *pair) for name, pair in pairs.items()])
 
 
-def silver_report(silver: Mapping[str, DataFrame]) -> DataFrame:
-    """All source-table checks in one table."""
+def silver_report(
+    silver: Mapping[str, DataFrame], measured: DataFrame | None = None
+) -> DataFrame:
+    """All source-table checks in one table.
+
+    ``measured`` are the results of :func:`whole_checks`, if they were taken while the
+    tables were written; then only the checks that group read the tables.
+    """
     return all_results(
         [
-            row_counts(silver),
-            null_checks(silver),
+            whole_checks(silver) if measured is None else measured,
             uniqueness_checks(silver),
             orphan_checks(silver),
-            sequence_check(silver["stop_events"]),
-            time_checks(silver["stop_events"]),
+            trip_checks(silver["stop_events"]),
         ]
     )

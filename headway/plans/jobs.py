@@ -5,13 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from headway.constants import SCOPE_AGENCIES
+from headway.operators import quality
 from headway.operators import reliability as rel
 from headway.operators.flatten import trip_update_rows, typed_observations
-from headway.operators.history import HISTORY_TABLE, append_new_snapshots, dedupe_observations
+from headway.operators.history import (
+    HISTORY_TABLE,
+    append_new_snapshots,
+    dedupe_observations,
+    read_ledger,
+)
 from headway.operators.ids import (
     DICTIONARY,
     extend_dictionary,
@@ -62,14 +68,59 @@ def run_static(
         raw = {name: numbered(df, dictionary) for name, df in raw.items()}
         agencies = numbers_of(dictionary, "agency", agencies)
     stop_times = raw["stop_times"]
-    routes = catalog.replace(routes_in_scope(raw["routes"], agencies), "routes")
-    trips = catalog.replace(trips_in_scope(raw["trips"], routes), "trips")
-    events = catalog.replace(stop_events_in_scope(stop_times, trips), "stop_events")
-    stops = catalog.replace(stops_in_use(raw["stops"], events), "stops")
+    checks = []
+
+    def replace(df: DataFrame, name: str) -> DataFrame:
+        table, results = replace_checked(df, name, catalog)
+        checks.append(results)
+        return table
+
+    routes = replace(routes_in_scope(raw["routes"], agencies), "routes")
+    trips = replace(trips_in_scope(raw["trips"], routes), "trips")
+    events = replace(stop_events_in_scope(stop_times, trips), "stop_events")
+    stops = replace(stops_in_use(raw["stops"], events), "stops")
+    catalog.replace(quality.all_results(checks).coalesce(1), STATIC_CHECKS)
     write_board_tables(raw["trips"], raw["routes"], stop_times, raw["stops"], catalog)
     return {"routes": routes, "trips": trips, "stop_events": events, "stops": stops}
 
 
+# Checks of the static tables, taken while they were written.
+STATIC_CHECKS = "static_checks"
+
+
+def replace_checked(df: DataFrame, name: str, catalog: Catalog) -> tuple[DataFrame, DataFrame]:
+    """Replace a source table; also its checks that need no grouping, observed on the way."""
+    seen = Observation()
+    table = catalog.replace(df.observe(seen, *quality.whole_measures(name)), name)
+    # One row of numbers.
+    row = catalog.spark.createDataFrame([seen.get])
+    return table, quality.whole_results(row, name)
+
+
+def stored_checks(catalog: Catalog) -> DataFrame:
+    """The checks that need no grouping, of all source tables, without reading a table.
+
+    Those of the static tables were stored by :func:`run_static`; those of the history are
+    added up from its ledger.
+    """
+    columns = quality.CRITICAL_COLUMNS[HISTORY_TABLE]
+
+    def nulls(c: str) -> Column:
+        # A snapshot without a time is never taken.
+        return F.lit(0) if c == "feed_timestamp" else F.sum(F.col("nulls")[c])
+
+    measured = read_ledger(catalog).agg(
+        F.sum("rows").alias("row_count/rows"), *[nulls(c).alias(f"null_values/{c}") for c in columns]
+    )
+    history = quality.whole_results(measured, HISTORY_TABLE)
+    return catalog.read(STATIC_CHECKS).unionByName(history)
+
+
+def silver_report(catalog: Catalog) -> DataFrame:
+    """The report on a catalog's source tables; tables are read for grouped checks only."""
+    return quality.silver_report(catalog.silver(), stored_checks(catalog))
+
+
 # What the live board needs of the timetable, by trip.
 TRIP_CONTEXT = "trip_context"
 TRIP_STOPS = "trip_stops"

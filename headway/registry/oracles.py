@@ -484,12 +484,12 @@ def _gold_totals() -> str:
     return _union(parts)
 
 
-def _orphans() -> str:
+def _orphans(tables: dict[str, str]) -> str:
     parts = []
     for child, key, parent in REFERENCES:
         source = (
-            f"(select distinct {key} as k from {_CHECKED[child]}) c where not exists"
-            f" (select 1 from {_CHECKED[parent]} p where p.{key} = try_cast(c.k as bigint))"
+            f"(select distinct {key} as k from {tables[child]}) c where not exists"
+            f" (select 1 from {tables[parent]} p where p.{key} = try_cast(c.k as bigint))"
         )
         parts.append(
             _result(
@@ -499,8 +499,7 @@ def _orphans() -> str:
     return _union(parts)
 
 
-def _times() -> str:
-    events = _CHECKED["stop_events"]
+def _times(events: str) -> str:
     counted = {
         "missing arrival": ("coalesce(trim(arrival_time_raw), '') = ''", "v = 0"),
         "missing departure": ("coalesce(trim(departure_time_raw), '') = ''", "v = 0"),
@@ -518,24 +517,50 @@ def _times() -> str:
     return _union(parts)
 
 
-def _counts() -> str:
+def _counts(tables: dict[str, str]) -> str:
     return _union(
         [
             _result("row_count", name, "rows", "count(*)", source, "v > 0")
-            for name, source in _CHECKED.items()
+            for name, source in tables.items()
         ]
     )
 
 
-_PROFILE = (
-    "select trip_id, count(*) as stop_count, min(stop_sequence) as min_sequence,"
-    " max(stop_sequence) as max_sequence from all_stop_events group by trip_id"
-)
-_ISSUES = f"select * from ({_PROFILE}) where min_sequence <> 1 or stop_count <> max_sequence"
+def _profile(events: str) -> str:
+    return (
+        "select trip_id, count(*) as stop_count, min(stop_sequence) as min_sequence,"
+        f" max(stop_sequence) as max_sequence from {events} group by trip_id"
+    )
+
+
+_PROFILE = _profile("all_stop_events")
+
+
+def _issues(events: str) -> str:
+    return f"select * from ({_profile(events)}) where min_sequence <> 1 or stop_count <> max_sequence"
+
+
+_ISSUES = _issues("all_stop_events")
+
+
+def _sequence(events: str) -> str:
+    issues = f"({_issues(events)})"
+    return _result("sequence_issues", "stop_events", "trip_id", "count(*)", issues, "v = 0")
 
 
-def _sequence() -> str:
-    return _result("sequence_issues", "stop_events", "trip_id", "count(*)", f"({_ISSUES})", "v = 0")
+def _report(tables: dict[str, str]) -> str:
+    """All checks of the five source tables."""
+    events = tables["stop_events"]
+    return _union(
+        [
+            _counts(tables),
+            _nulls(tables, CRITICAL_COLUMNS),
+            _duplicates(tables, UNIQUE_KEYS),
+            _orphans(tables),
+            _sequence(events),
+            _times(events),
+        ]
+    )
 
 
 def _weighted(name: str, weight: str) -> str:
@@ -640,22 +665,14 @@ def oracle_queries() -> dict[str, str]:
         "delay_propagation_events": view("propagation"),
         "route_delay_propagation": view("route_propagation"),
         # Quality
-        "row_counts": query(_counts(), *_CHECKED_READS),
+        "row_counts": query(_counts(_CHECKED), *_CHECKED_READS),
         "null_checks": query(_nulls(_CHECKED, CRITICAL_COLUMNS), *_CHECKED_READS),
         "uniqueness_checks": query(_duplicates(_CHECKED, UNIQUE_KEYS), *_CHECKED_READS),
-        "orphan_checks": query(_orphans(), *_CHECKED_READS),
-        "silver_report": query(
-            _union(
-                [
-                    _counts(),
-                    _nulls(_CHECKED, CRITICAL_COLUMNS),
-                    _duplicates(_CHECKED, UNIQUE_KEYS),
-                    _orphans(),
-                    _sequence(),
-                    _times(),
-                ]
-            ),
-            *_CHECKED_READS,
+        "orphan_checks": query(_orphans(_CHECKED), *_CHECKED_READS),
+        "silver_report": query(_report(_CHECKED), *_CHECKED_READS),
+        "silver_report_of_jobs": query(
+            _report({**{n: n for n in _CHECKED}, "realtime_stop_events": "deduped"}),
+            *("routes", "trips", "stop_events", "stops", "deduped"),
         ),
         "duplicate_examples": query(
             "select feed_timestamp, trip_id, stop_sequence, count(*) as row_count from realtime"
@@ -697,7 +714,7 @@ def oracle_queries() -> dict[str, str]:
             "realtime",
             "trips",
         ),
-        "time_checks": query(_times(), "all_stop_events"),
+        "time_checks": query(_times("all_stop_events"), "all_stop_events"),
         "gold_rebuilt_days": query(_gold_totals(), *gold_reads),
         "not_null_gold": query(_nulls(_GOLD, GOLD_FILLED), *gold_reads),
         "unique_grain_gold": query(_duplicates(_GOLD, GOLD_GRAIN), *gold_reads),
@@ -1048,6 +1065,24 @@ def oracle_queries() -> dict[str, str]:
             "feed_updates",
             "updates",
         ),
+        "feed_profile_estimate": query(
+            "select count(*) as rows, min(feed_timestamp) as min_feed_timestamp,"
+            " max(feed_timestamp) as max_feed_timestamp, true as feed_timestamps_within_2_pct,"
+            " true as trip_ids_within_2_pct, true as stop_ids_within_2_pct from realtime",
+            "realtime",
+        ),
+        "stream_hourly": query(
+            "select feed_timestamp // 3600 * 3600 as hour_start, count(*) as observations,"
+            f" {half_up('sum(arrival_delay_seconds)', 'count(*)')} as avg_arrival_delay_seconds,"
+            f" {pct('abs(arrival_delay_seconds) <= 60')} as on_time_pct,"
+            f" {pct('arrival_delay_seconds > 300')} as over_5_min_late_pct"
+            " from realtime where arrival_delay_seconds is not null"
+            " and (start_date >= date '2024-02-10' or stop_sequence is distinct from 2)"
+            # The last hours stay open.
+            " and feed_timestamp // 3600 * 3600 + 3600 <= (select max(feed_timestamp) - 7200"
+            " from realtime where arrival_delay_seconds is not null) group by 1",
+            "realtime",
+        ),
         "handshake_of_feed": query(
             "select count(*) as realtime_trip_ids, count(k) as matched,"
             f" count(*) - count(k) as unmatched, {half_up('100 * count(k)', 'count(*)')}"

@@ -38,6 +38,7 @@ from headway.operators.history import (
 from headway.operators.ids import read_dictionary, with_texts
 from headway.operators.propagation import delay_propagation_events, route_delay_propagation
 from headway.operators.scope import observations_in_scope
+from headway.operators.sketches import COUNTED, feed_profile_estimate, store_day_sketches
 from headway.plans import reports
 from headway.plans.jobs import (
     TRIP_CONTEXT,
@@ -46,6 +47,7 @@ from headway.plans.jobs import (
     gold_frames,
     run_realtime,
     run_static,
+    silver_report,
     write_board_tables,
 )
 from headway.registry import tables as t
@@ -70,6 +72,7 @@ from headway.sources.snapshots import (
 from headway.sources.tables import FolderCatalog
 from headway.sources.timetable import read_timetable
 from headway.streaming import history as stream_history
+from headway.streaming import hourly as stream_hourly
 from headway.streaming import live as stream_live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,6 +249,24 @@ _over(t.checked_tables, quality.null_checks, "null_checks")
 _over(t.checked_tables, quality.uniqueness_checks, "uniqueness_checks")
 _over(t.checked_tables, quality.orphan_checks, "orphan_checks")
 _over(t.checked_tables, quality.silver_report, "silver_report")
+
+
+@registered("silver_report_of_jobs")
+def _report_of_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on what the jobs wrote, with the checks taken while they wrote."""
+    folder = new_folder(spark, "checked")
+    catalog = FolderCatalog(spark, f"{folder}/lake")
+    for name, df in t.raw_timetable(spark, sf_dir).items():
+        df.write.option("header", True).csv(f"{folder}/gtfs/{name}.txt")
+    run_static(spark, f"{folder}/gtfs", catalog, t.AGENCIES)
+    batch = dedupe_observations(scoped_history(spark, sf_dir))
+    half = F.pmod(F.xxhash64("feed_timestamp"), F.lit(2)) == 0
+    append_new_snapshots(batch.filter(half), catalog)
+    append_new_snapshots(batch, catalog)
+    compact_history(catalog, "2024-02-01")
+    return silver_report(catalog)
+
+
 _over(
     t.realtime,
     lambda df: quality.duplicate_examples(
@@ -267,6 +288,26 @@ _over(t.realtime, quality.delay_profile, "delay_profile")
 _over(t.realtime, quality.feed_profile, "feed_profile")
 
 
+@registered("feed_profile_estimate")
+def _profile_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile from stored daily sketches, some of them made anew, next to the exact one."""
+    catalog = FolderCatalog(spark, new_folder(spark, "sketches"))
+    history = with_feed_date(t.realtime(spark, sf_dir))
+    first = datetime.date(2024, 1, 1)
+    again = [first + datetime.timedelta(days=k) for k in range(0, 30, 2)]
+    lacking = ~F.col("feed_date").isin(again) | (F.col("stop_sequence") > 2)
+    store_day_sketches(history.filter(lacking), catalog)
+    profile = feed_profile_estimate(store_day_sketches(history, catalog, again))
+
+    def close(name: str) -> F.Column:
+        exact = history.select(F.count_distinct(name)).scalar()
+        return (F.abs(F.col(f"unique_{name}s") - exact) <= 0.02 * exact).alias(f"{name}s_within_2_pct")
+
+    return profile.select(
+        "rows", "min_feed_timestamp", "max_feed_timestamp", *[close(c) for c in COUNTED]
+    )
+
+
 @registered("handshake")
 def _handshake(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = t.scoped_static(spark, sf_dir)["trips"]
@@ -764,3 +805,18 @@ def _board_from_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     return stream_live.read_board(spark, f"{folder}/board")
+
+
+@registered("stream_hourly")
+def _stream_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours of the feed in three runs; the last one brings rows that are far too late."""
+    folder = new_folder(spark, "stream-hourly")
+    rows = t.realtime(spark, sf_dir)
+    day = F.datediff("start_date", F.lit("2024-01-01").cast("date"))
+    late = F.col("stop_sequence") == 2
+    parts = [(day < 40) & ~F.coalesce(late, F.lit(False)), day >= 40, (day < 40) & late]
+    for part in parts:
+        rows.filter(part).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        _finish(stream_hourly.start_hourly(stream, f"{folder}/hours", f"{folder}/checkpoint"))
+    return spark.read.parquet(f"{folder}/hours")
