@@ -122,7 +122,9 @@ def route_match_summary(matches: DataFrame) -> DataFrame:
 
 def route_match_examples(matches: DataFrame, matched: bool, limit: int = 10) -> DataFrame:
     return (
-        matches.filter(F.col("matched") == matched).orderBy("vehicle_id", "trip_id").limit(limit)
+        matches.filter(F.col("matched") == matched)
+        .orderBy("vehicle_id", "trip_id", "vehicle_timestamp")
+        .limit(limit)
     )
 
 

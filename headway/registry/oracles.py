@@ -947,6 +947,17 @@ def oracle_queries() -> dict[str, str]:
             "trips",
             "routes",
         ),
+        "route_match_examples": query(
+            "select v.vehicle_id, v.trip_id, v.latitude, v.longitude, v.vehicle_timestamp,"
+            " t.trip_id is not null as matched, t.route_id, r.route_short_name,"
+            " r.route_long_name, r.route_type, t.trip_headsign from vehicles v"
+            " left join trips t on cast(v.trip_id as bigint) = t.trip_id"
+            " left join routes r on t.route_id = r.route_id where v.trip_id is not null"
+            " and t.trip_id is null order by v.vehicle_id, v.trip_id, v.vehicle_timestamp limit 10",
+            "vehicles",
+            "trips",
+            "routes",
+        ),
         "route_match_summary": query(
             "select count(*) as live_vehicles, count(t.trip_id) as matched,"
             " count(*) - count(t.trip_id) as unmatched,"
@@ -1014,6 +1025,24 @@ def oracle_queries() -> dict[str, str]:
             " from snapshot_rows) group by 1, 2",
             "snapshot_rows",
         ),
+        "context_of_files": view("context"),
+        "static_job": query(
+            "select * replace (nullif(arrival_time_raw, '') as arrival_time_raw) from stop_events",
+            "stop_events",
+        ),
+        "source_registry": query(
+            _union(
+                [
+                    f"select '{name}' as table_name, count(*) as rows from {source}"
+                    for name, source in {
+                        **{n: n for n in _CHECKED},
+                        "realtime_stop_events": "deduped",
+                    }.items()
+                ]
+            ),
+            *("routes", "trips", "stop_events", "stops", "deduped"),
+        ),
+        "publish_connector": view("route_reliability"),
         "timetable_text_ids": query(
             f"select {t.text_id('T', 'e.trip_id')} as trip_id, {t.text_id('R', 't.route_id')}"
             f" as route_id, {t.text_id('S', 'e.stop_id')} as stop_id, stop_sequence,"
@@ -1126,6 +1155,7 @@ def oracle_queries() -> dict[str, str]:
             "vehicles",
         ),
         "stream_live_board": view("live_board"),
+        "stream_board_interval": view("live_board"),
         "stream_known_routes": query(
             "select distinct t.route_id from vehicles v join raw_trips t"
             " on cast(v.trip_id as bigint) = t.trip_id",

@@ -61,7 +61,7 @@ from headway.registry.encode import (
 from headway.session import configure, new_folder
 from headway.sources.feed import decode_feed, require_feed
 from headway.sources.payload_files import write_payload_files
-from headway.sources.publish import parquet_sink, publish, read_published
+from headway.sources.publish import connector_sink, parquet_sink, publish, read_published
 from headway.sources.snapshots import (
     archive_files,
     archive_snapshots,
@@ -456,6 +456,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _over(matches, lambda df: df, "route_match")
 _over(matches, feeds.route_match_summary, "route_match_summary")
+_over(matches, lambda df: feeds.route_match_examples(df, False), "route_match_examples")
 
 # Texts
 
@@ -521,6 +522,56 @@ def _timetable_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_timetable(spark, folder, "stop_times")
 
 
+def timetable_files(spark: SparkSession, sf_dir: str) -> str:
+    """The timetable as files whose columns are more and in another order than asked for."""
+    folder = new_folder(spark, "gtfs")
+    for name, df in t.raw_timetable(spark, sf_dir).items():
+        shuffled = df.select(F.lit("x").alias("extra"), *reversed(df.columns))
+        writer = shuffled.write.option("header", True)
+        writer = writer.options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        writer.csv(f"{folder}/{name}.txt")
+    return folder
+
+
+@registered("context_of_files")
+def _context_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live context from files, of which only the columns it needs are read."""
+    folder = timetable_files(spark, sf_dir)
+    columns = {
+        "trips": ["trip_id", "route_id", "trip_headsign"],
+        "routes": ["route_id", "route_short_name", "route_long_name", "route_type"],
+        "stop_times": ["trip_id", "stop_id", "stop_sequence"],
+        "stops": ["stop_id", "stop_name", "stop_lat", "stop_lon"],
+    }
+    frames = [read_timetable(spark, folder, name, some) for name, some in columns.items()]
+    return live.trip_context(*frames)
+
+
+@registered("static_job")
+def _static_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The static job over files, twice: tables that exist are replaced, with their schema."""
+    catalog = FolderCatalog(spark, new_folder(spark, "static-job"))
+    catalog.replace(spark.range(3).withColumn("old", F.lit("x")), "stop_events")
+    folder = timetable_files(spark, sf_dir)
+    for _ in range(2):
+        run_static(spark, folder, catalog, t.AGENCIES)
+    return catalog.read("stop_events")
+
+
+@registered("source_registry")
+def _source_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the five source tables, looked up by name after both jobs."""
+    catalog = FolderCatalog(spark, new_folder(spark, "sources"))
+    for name, df in t.scoped_static(spark, sf_dir).items():
+        catalog.replace(df, name)
+    append_new_snapshots(dedupe_observations(scoped_history(spark, sf_dir)), catalog)
+    counts = [
+        df.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows"))
+        for name, df in catalog.silver().items()
+    ]
+    return quality.all_results(counts)
+
+
 def text_id_tables(spark: SparkSession, sf_dir: str) -> FolderCatalog:
     """The static job over four files with text ids, twice, and the realtime job after it."""
     folder = new_folder(spark, "text-ids")
@@ -688,6 +739,16 @@ def _publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered("publish_connector")
+def _publish_connector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A serving copy through a data source that is named by its format, refreshed twice."""
+    tables = {"route_reliability": rel.route_reliability(events(spark, sf_dir))}
+    folder = new_folder(spark, "connector")
+    for _ in range(2):
+        publish(tables, connector_sink("parquet", {"path": folder}), ["route_reliability"])
+    return spark.read.parquet(folder)
+
+
 # Streams. Each runs over all that is there and stops; the result is read back.
 
 
@@ -757,6 +818,28 @@ def _stream_board(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_live.read_last_batch(spark, rows).drop("board_time")
 
 
+@registered("stream_board_interval")
+def _board_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board refreshed every second until all that is there is shown."""
+    folder = new_folder(spark, "board-interval")
+    shown = _vehicle_stream(spark, sf_dir).filter(
+        "vehicle_id is not null and trip_id is not null and latitude is not null"
+    )
+    stream = stream_live.start_live_board(
+        shown,
+        lambda: t.updates(spark, sf_dir),
+        context(spark, sf_dir),
+        stops_of_trips(spark, sf_dir),
+        lambda: t.NOW,
+        f"{folder}/board",
+        f"{folder}/checkpoint",
+        every_seconds=1,
+    )
+    stream.processAllAvailable()
+    stream.stop()
+    return stream_live.read_board(spark, f"{folder}/board").drop("board_time")
+
+
 @registered("live_board_from_feeds")
 def _board_from_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live job over landed files of both feeds, in three batches.
