@@ -8,6 +8,7 @@ import zlib
 from itertools import combinations
 
 import numpy as np
+import regex
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -63,9 +64,13 @@ def edited(rows):
     return out
 
 
+_SCRIPTS = "".join(rf"\p{{{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar"))
+_UNITS = regex.compile(rf"[{_SCRIPTS}]|[^\s{_SCRIPTS}]{{1,24}}")
+
+
 def order_minhash(text, kmer=3, bins=64, least=2):
     """Bins to tuples of (k-mer, occurrence) in text order, with an own hash."""
-    words = text.split(" ")
+    words = _UNITS.findall(text)
     seen, elements = {}, []
     for i in range(max(len(words) - kmer, 0) + 1):
         key = tuple(words[i : i + kmer])
@@ -225,3 +230,82 @@ def folded(leaf, path):
     for before, after in path:
         leaf = _hash("".join(before) + leaf + "".join(after))
     return leaf
+
+
+_VARIABLE = re.compile(r"[0-9]|^.{25,}$|[%=&;,:~+]", re.S)
+
+
+def url_parts(url):
+    """Host and path of a url."""
+    found = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
+    return (found[1].translate(_UPPER), found[2]) if found else ("", "")
+
+
+def url_verdicts(urls, rules, most_children=50, smoothing=4.0, reject_at=0.8, alike_at=1.96):
+    """urls to a list of (template, verdict): the whole tree of every host in memory."""
+    placed = []
+    for url in urls:
+        host, path = url_parts(url)
+        fits = [(len(r), r, v) for v, r in rules
+                if (host == r.split("/")[0] or host.endswith("." + r.split("/")[0]))
+                and path.startswith(r[len(r.split("/")[0]):])]
+        inner = path.strip("/")
+        parts = inner.split("/") if inner else []
+        segments = tuple("*" if _VARIABLE.search(p) else p for p in parts)
+        placed.append((host, segments, max(fits)[2] if fits else None))
+    out = {}
+    for host in {p[0] for p in placed}:
+        counts = {}
+        for h, segments, given in placed:
+            if h == host:
+                bad, known = counts.get(segments, (0, 0))
+                counts[segments] = (bad + (given == "block"), known + (given is not None))
+        branch = {s: () for s in counts}
+        going, level = set(counts), 0
+        while going:
+            groups = {}
+            for s in going:
+                groups.setdefault(branch[s], []).append(s)
+            following = set()
+            for node, members in groups.items():
+                children = {s[level] for s in members if len(s) > level}
+                for s in members:
+                    if len(members) == 1 or len(s) <= level:
+                        branch[s] = node + (("/".join(s[level:]),) if len(s) > level else ())
+                    else:
+                        branch[s] = (*node, "*" if len(children) > most_children else s[level])
+                        following.add(s)
+            going, level = following, level + 1
+
+        def sums(length):
+            total = {}
+            for s, b in branch.items():
+                if len(b) >= length:
+                    bad, known = total.get(b[:length], (0, 0))
+                    total[b[:length]] = (bad + counts[s][0], known + counts[s][1])
+            return total
+
+        for level in range(max(map(len, branch.values())), 0, -1):
+            nodes, parents = sums(level), sums(level - 1)
+            alike = set()
+            for node, (bad, known) in nodes.items():
+                all_bad, all_known = parents[node[:-1]]
+                rest = all_known - known
+                apart = False
+                if known and rest:
+                    pooled = all_bad / all_known
+                    spread = math.sqrt(pooled * (1 - pooled) * (1 / known + 1 / rest))
+                    apart = abs(bad / known - (all_bad - bad) / rest) > alike_at * spread
+                if not apart:
+                    alike.add(node)
+            branch = {s: (*b[: level - 1], "*", *b[level:]) if b[:level] in alike and len(b) >= level else b
+                      for s, b in branch.items()}
+        shares = {}
+        for level in range(max(map(len, branch.values())) + 1):
+            for node, (bad, known) in sums(level).items():
+                before = shares[node[:-1]] if level else 0.5
+                shares[node] = (bad + smoothing * before) / (known + smoothing)
+        judged = sum(k for _, k in counts.values()) > 0
+        for s, b in branch.items():
+            out[host, s] = ("/" + "/".join(b), judged and shares[b] >= reject_at)
+    return [(out[h, s][0], given or ("block" if out[h, s][1] else "allow")) for h, s, given in placed]
