@@ -1,7 +1,8 @@
 """Order MinHash fingerprints in DataFrame expressions alone.
 
-A text is cut at spaces into words; k successive words are a k-mer, and equal k-mers are
-told apart by their occurrence number. One hash deals these out to bins; a bin selects its
+A text is cut at white space into words, and where a script writes none or a string goes on
+without a space, into single characters or pieces; k successive words are a k-mer, and equal
+k-mers are told apart by their occurrence number. One hash deals these out to bins; a bin selects its
 least ones, puts them back into text order and hashes them as a tuple. Two texts agree in
 a bin if they share its least k-mers in the same order, so the share of bins that agree
 follows the edit distance and not only the words. Bins without k-mers say nothing.
@@ -9,7 +10,9 @@ follows the edit distance and not only the words. Bins without k-mers say nothin
 All of it is array functions within a row: sorting brings equal k-mers together, and the
 occurrence number is the distance to the first of them, found by halving.
 
-Defined results: null texts are empty ones. Texts with fewer words than k are one k-mer.
+Defined results: null texts are empty ones. Texts with fewer words than k are one k-mer,
+texts without any word too. Texts of any length are taken whole: a place has as many bits
+as the longest string has words.
 The next document after one is that with the next smaller doc_id, and after the last the
 first; null ids come last, repeated ids are ordered by text. Other columns are ignored.
 """
@@ -24,9 +27,16 @@ from pyspark.sql import functions as F
 from headway.llm.ordering import with_range
 
 WORDS, BINS, LEAST = 3, 64, 2
-_PLACE = 24  # bits of a position
-_HASH = 33  # bits of an element's hash within its bin
+_PLACE = 30  # bits of a position
+_HASH = 27  # bits of an element's hash within its bin
 _LOW = (1 << _PLACE) - 1
+_HIGH = (1 << (63 - _PLACE)) - 1
+# Scripts without spaces between words: a character is a word.
+_SINGLE = "".join(
+    rf"\p{{Is{s}}}" for s in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+)
+# Strings without a space are cut every 24 characters.
+WORD = rf"[{_SINGLE}]|[^\s{_SINGLE}]{{1,24}}"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -40,7 +50,8 @@ def _long(x: int) -> Column:
 
 def order_minhash(text: Column) -> Column:
     """The fingerprint as an array of longs: bin in the high bits, tuple hash below."""
-    return _let(F.split(text, " "), lambda words: _let(_kmers(words), _tuples_of))
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    return _let(words, lambda words: _let(_kmers(words), _tuples_of))
 
 
 def _kmers(words: Column) -> Column:
@@ -48,7 +59,7 @@ def _kmers(words: Column) -> Column:
 
     def packed(i: Column) -> Column:
         parts = [F.get(words, i + j) for j in range(WORDS)]
-        key = F.xxhash64(*parts).bitwiseAND(_long((1 << 39) - 1))
+        key = F.xxhash64(*parts).bitwiseAND(_long(_HIGH))
         return F.shiftleft(key, _PLACE).bitwiseOR(i.cast("long").bitwiseAND(_long(_LOW)))
 
     last = F.greatest(F.size(words) - WORDS, F.lit(0))
@@ -70,9 +81,7 @@ def _tuples_of(kmers: Column) -> Column:
 
     def element(x: Column, i: Column) -> Column:
         key = F.xxhash64(F.shiftright(x, _PLACE), occurrence(x, i))
-        ordered = F.shiftleft(
-            key.bitwiseAND(_long((1 << (63 - _PLACE)) - 1)), _PLACE
-        )  # bin and hash
+        ordered = F.shiftleft(key.bitwiseAND(_long(_HIGH)), _PLACE)  # bin and hash
         return ordered.bitwiseOR(x.bitwiseAND(_long(_LOW)))
 
     return _let(F.sort_array(F.transform(kmers, element)), _selected)
@@ -166,9 +175,10 @@ def _heads(placed: DataFrame) -> DataFrame:
         (F.col("part") == F.col("first_part")) & F.col("doc_id").eqNullSafe(F.col("first_id")),
     )
     texts = rows.groupBy("part").agg(F.max("text").alias("text"))
-    # One row per range, 2049 at most.
+    # Only the numbers of the ranges are ordered together; texts join them after that.
     down = Window.orderBy(F.col("part").desc())
     everything = down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    text = F.coalesce(F.lead("text").over(down), F.first("text").over(everything))
-    heads = texts.select(F.col("part").alias("head_part"), text.alias("head_text"))
+    following = F.coalesce(F.lead("part").over(down), F.first("part").over(everything))
+    follows = first.select(F.col("part").alias("head_part"), following.alias("part"))
+    heads = follows.join(texts, "part").select("head_part", F.col("text").alias("head_text"))
     return heads.withColumn("head_fingerprint", order_minhash(F.col("head_text")))

@@ -16,11 +16,12 @@ from headway.llm.encoding import FragmentEncoder
 from headway.llm.grouping import group_links
 from headway.llm.html_text import common_lines, difference, extract_text, page_lines
 from headway.llm.minhash_dedup import near_duplicates, parity_map, superminhash
+from headway.llm.order_minhash import fingerprint_documents, likeness
 from headway.llm.packing import piece_lengths
 from headway.llm.queries import QUERIES
 from headway.llm.quality import fit_network
 from headway.llm.secret_scan import base_spans, redact, scan_text
-from headway.llm.token_shards import build_hash, key_hashes, slots_of
+from headway.llm.token_shards import build_hash, key_hashes, slots_of, write_token_shards
 from headway.llm.topk import top_k
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -116,6 +117,15 @@ def test_token_shards(spark, odd, which):
     assert sorted(got, key=lambda r: r[1]) == want
 
 
+def test_ids_that_do_not_fit_are_refused(spark, folder):
+    frame = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    for end_id, width in ((70_000, 2), (2, 3), (2, 1)):
+        with pytest.raises(ValueError, match="do not fit"):
+            write_token_shards(frame, folder, path, end_id=end_id, width=width)
+    write_token_shards(frame, folder, path, end_id=65_535, width=2)
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000, 70000])
 def test_minimal_perfect_hash(n):
     hashes = key_hashes(np.arange(n) * 7 - 5, np.zeros(n, bool), np.zeros(n, np.int64))
@@ -143,6 +153,25 @@ def test_order_minhash(spark, odd):
     assert len({r["fingerprint"] for r in rows if r["doc_id"] in (0, 1, 15)}) == 1
 
 
+def test_order_minhash_of_texts_without_spaces(spark):
+    rng = np.random.default_rng(7)
+    han = ["".join(chr(0x4E00 + c) for c in rng.integers(0, 3000, 2000)) for _ in range(3)]
+    lines = ["\n".join(f"w{c}" for c in rng.integers(0, 5000, 2000)) for _ in range(3)]
+    code = ["".join(chr(c) for c in rng.integers(97, 123, 30_000)) for _ in range(3)]
+    texts = [*han, *lines, *code, "", None, "\n \t"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = fingerprint_documents(frame, 3).select(
+        "doc_id", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("edited"),
+        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("next"), "fingerprint",
+    ).collect()
+    for r in rows:
+        if r["doc_id"] < 9:
+            assert 0 < r["edited"] < 0.3 and r["next"] < 0.05
+    assert len({tuple(r["fingerprint"]) for r in rows if r["doc_id"] >= 9}) == 1
+    # A third of all k-mers is shared at most, so a ninth of the pairs.
+    assert 0.05 < np.mean([r["edited"] for r in rows if r["doc_id"] < 9]) < 0.16
+
+
 def test_url_templates(spark, odd):
     by_id = {r["page_id"]: r for r in _rows(spark, "op6_url_templates", odd)}
     assert (by_id[1]["host"], by_id[1]["path"]) == ("a.example.org", "/en/1")
