@@ -43,7 +43,12 @@ def write_token_shards(
     width: int = 4,
     key: str = "doc_id",
 ) -> None:
-    """Encode every text and write payload, shards and index below `folder`."""
+    """Encode every text and write payload, shards and index below `folder`.
+
+    Ids take `width` bytes, 2 or 4; a vocabulary that does not fit is refused.
+    """
+    if width not in (2, 4) or max(vocabulary_size(tokenizer), end_id + 1) > 1 << 8 * width:
+        raise ValueError(f"the ids of this vocabulary do not fit into {width} bytes")
     spark = documents.sparkSession
     docs = documents.select(F.col(key).cast("long").alias("key"), F.col("text").alias("text"))
     docs = with_range(docs, "key", "shard")
@@ -61,6 +66,13 @@ def write_token_shards(
     _write_index(places, f"{folder}/index")
 
 
+def vocabulary_size(tokenizer: str) -> int:
+    """The number of ids, from 0 on, that a tokenizer file may give."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(tokenizer).get_vocab().values(), default=-1) + 1
+
+
 def _encoded(tokenizer: str, end_id: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
