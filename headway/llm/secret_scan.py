@@ -22,6 +22,8 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
+from headway.llm.wordbytes import slices
+
 # Kinds and patterns of the base spans, with the shortest length.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
@@ -163,7 +165,8 @@ def find_secrets(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> D
     """The columns `keep` of each document, `secrets` as array of (kind, start, end), and
     `redacted`, the text with every span replaced by a mark (null for a null text).
 
-    No shuffle; a text is looked at whole, one at a time.
+    No shuffle; a text is looked at whole, one at a time, and some megabytes of texts are
+    held. Rows that repeat a document are scanned alike; an empty text has no spans.
     """
     rows = documents.select(*keep, "text")
     kinds = dict(rows.dtypes)
@@ -175,8 +178,7 @@ def find_secrets(documents: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> D
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in slices(whole, "text"):
                 texts = batch.column(len(keep)).to_pylist()
                 spans = [scan_text(t) for t in texts]
                 found = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in s] for s in spans]
