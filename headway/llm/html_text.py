@@ -12,7 +12,9 @@ an article share its lines with their neighbours; nothing of it is deleted.
 
 Defined results: null and empty pages, and pages without text, give an empty text. A page
 without neighbours of its host is judged by its markup alone. Rows that repeat a page
-in id, url and content are one page and give the same text.
+in id, url and content are one page and give the same text. Broken markup is read in one pass
+of the page, tags that never end and quotes that never close included; a tag ends at the next
+``<`` at the latest.
 """
 
 from __future__ import annotations
@@ -21,17 +23,19 @@ import hashlib
 import html
 import re
 from bisect import bisect_right
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.llm.ordering import MOST_RANGES
 from headway.llm.url_templates import url_host, url_path
+from headway.llm.wordbytes import slices
 
 # Names of HTML elements and of the roles that class and id attributes tell.
 _RAW = ("script", "style", "noscript", "template", "svg", "textarea", "title", "iframe", "select")
@@ -61,13 +65,18 @@ _ROLE_ATTRIBUTES = re.compile(
     r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE
 )
 _HIDDEN = re.compile(r"\shidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*.?true", re.IGNORECASE)
+# Attributes: whole quoted strings, then whatever ends no tag. Nothing taken is given back, and
+# a tag ends before the next one begins, so a page is passed once however it is broken.
+_INSIDE = r"(?:\"[^\"]*\"|'[^']*'|[^'\"<>]|[\"'])*+"
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(" + "|".join(_RAW) + r")\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:>.*?(?:</\1\s*>|\Z)|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
-    r"|<[!?][^>]*(?:>|\Z)",
+    rf"|<({'|'.join(_RAW)})\b{_INSIDE}(?:>.*?(?:</\1\s*>|\Z)|\Z|(?=<))"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*+)({_INSIDE})(?:>|\Z|(?=<))"
+    r"|<[!?][^>]*+(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
+# Names of zones longer than this, as deep nesting makes them, go by a digest of their front.
+_ZONE_LENGTH = 1000
 _SPACE = re.compile(r"\s+")
 
 NEIGHBOURS = 4
@@ -78,6 +87,7 @@ def page_lines(page: str) -> list[tuple[str, int, str]]:
     """Blocks of text in page order: (zone, what is known of it, text)."""
     lines: list[tuple[str, int, str]] = []
     stack: list[tuple[str, str, int]] = [("body", "body", _NONE)]
+    opened: Counter[str] = Counter()
     parts: list[str] = []
 
     def flush() -> None:
@@ -99,25 +109,35 @@ def page_lines(page: str) -> list[tuple[str, int, str]]:
         if name in _VOID:
             continue
         if m[2]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    flush()
-                    del stack[i:]
-                    break
+            if opened[name]:
+                i = len(stack) - 1
+                while stack[i][0] != name:
+                    i -= 1
+                flush()
+                _leave(stack, opened, i)
             continue
-        _open(stack, name, m[4] or "")
+        _open(stack, opened, name, m[4] or "")
     if at < len(page):
         parts.append(page[at:])
     flush()
     return lines
 
 
-def _open(stack: list[tuple[str, str, int]], name: str, attributes: str) -> None:
+def _leave(stack: list[tuple[str, str, int]], opened: Counter[str], at: int) -> None:
+    """Close the elements from a place of the stack on."""
+    for name, _, _ in stack[at:]:
+        opened[name] -= 1
+    del stack[at:]
+
+
+def _open(
+    stack: list[tuple[str, str, int]], opened: Counter[str], name: str, attributes: str
+) -> None:
     """Enter an element, closing paragraphs and list items that it ends."""
-    if name in _BLOCK:
+    if name in _BLOCK and (opened["p"] or name == "li" and opened["li"]):
         for i in range(len(stack) - 1, 0, -1):
             if stack[i][0] == "p" or stack[i][0] == name == "li":
-                del stack[i:]
+                _leave(stack, opened, i)
                 break
             if stack[i][0] in _BLOCK:
                 break
@@ -137,7 +157,11 @@ def _open(stack: list[tuple[str, str, int]], name: str, attributes: str) -> None
         zone, known = f"{zone}>{name}.{roles}", _KNOWN
     elif name in _ZONES and known == _NONE:
         zone = f"{zone}>{name}.{roles}" if roles else f"{zone}>{name}"
+    if len(zone) > _ZONE_LENGTH and zone is not stack[-1][1]:
+        front, back = zone[: -_ZONE_LENGTH // 2], zone[-_ZONE_LENGTH // 2 :]
+        zone = f"#{hashlib.blake2b(front.encode(), digest_size=8).hexdigest()}{back}"
     stack.append((name, zone, known))
+    opened[name] += 1
 
 
 def aligned_lines(one: list, other: list) -> list[tuple[int, int]]:
@@ -155,16 +179,62 @@ def aligned_lines(one: list, other: list) -> list[tuple[int, int]]:
     in_b, in_a = set(b), set(a)
     left = [(i, x) for i, x in enumerate(a) if x in in_b]
     right = [(j, y) for j, y in enumerate(b) if y in in_a]
-    lengths = [[0] * (len(right) + 1)]
-    for _, x in left:
+    found = _common([x for _, x in left], [y for _, y in right])
+    return pairs + [(first + left[i][0], first + right[j][0]) for i, j in found]
+
+
+# Cells of a table of lengths that is kept whole; larger ones are halved first.
+_CELLS = 1 << 20
+
+
+def _common(one: list, other: list) -> list[tuple[int, int]]:
+    """Places that a longest common subsequence pairs, in memory linear in the lines.
+
+    A large pair of lists is split: the first half of `one` goes with that front of the other
+    list for which both parts together have most in common.
+    """
+    numbers: dict = {}
+    lists = [np.array([numbers.setdefault(x, len(numbers)) for x in xs], np.int64) for xs in (one, other)]
+    pairs: list[tuple[int, int]] = []
+    todo = [(0, len(one), 0, len(other))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if b - a == 0 or c == d:
+            continue
+        if b - a == 1:
+            places = np.flatnonzero(lists[1][c:d] == lists[0][a])
+            pairs += [(a, c + int(places[-1]))] if len(places) else []
+        elif (b - a) * (d - c) <= _CELLS:
+            pairs += _traced(lists[0][a:b].tolist(), lists[1][c:d].tolist(), a, c)
+        else:
+            middle = (a + b) // 2
+            front = _last_row(lists[0][a:middle], lists[1][c:d])
+            back = _last_row(lists[0][middle:b][::-1], lists[1][c:d][::-1])[::-1]
+            cut = c + int(np.argmax(front + back))
+            todo += [(a, middle, c, cut), (middle, b, cut, d)]
+    return pairs
+
+
+def _last_row(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequence of `one` and every front of `other`."""
+    row = np.zeros(len(other) + 1, np.int64)
+    for x in one.tolist():
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (other == x)))
+    return row
+
+
+def _traced(one: list, other: list, a: int, c: int) -> list[tuple[int, int]]:
+    """The pairs of two short lists, by the whole table of lengths."""
+    lengths = [[0] * (len(other) + 1)]
+    for x in one:
         above, row = lengths[-1], [0]
-        for j, (_, y) in enumerate(right):
+        for j, y in enumerate(other):
             row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
         lengths.append(row)
-    i, j = len(left), len(right)
+    pairs, i, j = [], len(one), len(other)
     while i and j:
-        if left[i - 1][1] == right[j - 1][1]:
-            pairs.append((first + left[i - 1][0], first + right[j - 1][0]))
+        if one[i - 1] == other[j - 1]:
+            pairs.append((a + i - 1, c + j - 1))
             i, j = i - 1, j - 1
         elif lengths[i - 1][j] >= lengths[i][j - 1]:
             i -= 1
@@ -330,8 +400,7 @@ def _cut_pages(bounds: list[tuple], copies: dict[tuple, list[int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         handed: set[tuple] = set()
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for batch in slices(whole, "html"):
                 rows, part, own, marks, lines = [], [], [], [], []
                 keys = zip(*(batch.column(k).to_pylist() for k in _KEY), strict=True)
                 for i, (row, page) in enumerate(
