@@ -22,6 +22,10 @@ CHECKED = [
     "clock_text",
     "decode_flatten",
     "stream_latest_vehicles",
+    "history_after_lost_load",
+    "gold_rebuilt_days",
+    "live_board_from_feeds",
+    "stream_hourly",
 ]
 
 
