@@ -937,6 +937,21 @@ def oracle_queries() -> dict[str, str]:
             "vehicles",
             "updates",
         ),
+        "overlap_examples": query(
+            "select v.trip_id, vehicle_id, latitude, longitude, vehicle_timestamp,"
+            " stop_update_count, first_stop_updates from (select *, row_number() over (partition"
+            " by trip_id order by entity_index desc) as rn from vehicles where vehicle_id is not"
+            " null and trip_id is not null"
+            " and feed_timestamp = (select max(feed_timestamp) from vehicles)) v"
+            " join (select cast(trip_id as varchar) as trip_id, cast(count(*) as int) as"
+            " stop_update_count, array_to_string(list_slice(list(stop_sequence || '@' ||"
+            " coalesce(cast(arrival_time + case trip_id % 3 when 0 then 600 else 0 end as"
+            " varchar), '-') order by update_index), 1, 5), ' ') as first_stop_updates"
+            " from updates group by updates.trip_id) u on v.trip_id = u.trip_id"
+            " where rn = 1 order by v.trip_id limit 5",
+            "vehicles",
+            "updates",
+        ),
         "route_match": query(
             "select v.vehicle_id, v.trip_id, v.latitude, v.longitude, v.vehicle_timestamp,"
             " t.trip_id is not null as matched, t.route_id, r.route_short_name,"

@@ -723,6 +723,23 @@ def _stop_update_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stop_update_rows(newest_trip_states(trip_update_state(feed)))
 
 
+@registered("overlap_examples")
+def _overlap_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running vehicles of the newest snapshot whose trips have stop updates."""
+    vehicles = vehicles_by_trip(live.newest_snapshot(t.vehicles(spark, sf_dir)))
+    rows = [t.live_updates(spark, sf_dir, i) for i in range(3)]
+    files = update_snapshots(rows[0].unionByName(rows[1]).unionByName(rows[2]))
+    states = trip_update_state(decode_feed(files.withColumn("path", F.lit("x"))))
+    found = feeds.overlap_examples(vehicles, newest_trip_states(states))
+
+    def shown(stop) -> F.Column:
+        time = F.coalesce(stop["arrival_time"].cast("string"), F.lit("-"))
+        return F.concat_ws("@", stop["stop_sequence"].cast("string"), time)
+
+    texts = F.array_join(F.transform("first_stop_updates", shown), " ")
+    return found.withColumn("first_stop_updates", texts).drop("update_timestamp")
+
+
 @registered("handshake_of_feed")
 def _handshake_of_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = read_snapshots(spark, landed(spark, sf_dir))
