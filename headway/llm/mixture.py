@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from headway.llm.grouping import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 # The columns added; input columns of these names are replaced.
@@ -86,9 +88,9 @@ def mix_sources(
     """Documents with `mix_size`, `mix_source_size`, `mix_target` and `mix_copies`.
 
     Two passes over the documents: one sums sizes per source, the second joins the
-    targets. The join goes by hash, so a hot source is not gathered: the targets, one
-    row per source, are the small side, which adaptive execution broadcasts while small
-    and meets by skew splitting when large.
+    targets. These, one row per source, are written first, so that their size is known when
+    the join is planned: below the session's threshold they are broadcast and no text moves;
+    beyond it both sides are dealt by source and adaptive execution splits hot ones.
     """
     sized = documents.drop(*ADDED).withColumn("mix_size", word_count(F.col("text")))
     sizes = sized.groupBy("source").agg(F.sum("mix_size").alias("source_size"))
@@ -97,6 +99,7 @@ def mix_sources(
         F.col("source_size").alias("mix_source_size"),
         F.col("target").alias("mix_target"),
     )
+    targets = stored(targets, "targets")
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("mix_source")), "left")
     rate = F.when(
         F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")
