@@ -19,6 +19,16 @@ from pyspark.sql.types import Row, StructType
 FORMAT = "payload_files"
 
 
+def file_store(path: str):
+    """The file system of a path, and the path within it."""
+    from pyarrow import fs
+
+    plain = path.removeprefix("file:") if path.startswith("file:/") else path
+    if "://" in plain:
+        return fs.FileSystem.from_uri(plain)
+    return fs.LocalFileSystem(), plain
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     files: int
@@ -29,13 +39,7 @@ class _PayloadWriter(DataSourceWriter):
         self.base = base
 
     def write(self, iterator: Iterator[Row]) -> WriterCommitMessage:
-        from pyarrow import fs
-
-        base = self.base.removeprefix("file:") if self.base.startswith("file:/") else self.base
-        if "://" in base:
-            store, root = fs.FileSystem.from_uri(base)
-        else:
-            store, root = fs.LocalFileSystem(), base
+        store, root = file_store(self.base)
         made, files = set(), 0
         for row in iterator:
             folder, _, name = f"{root.rstrip('/')}/{row['file']}".rpartition("/")

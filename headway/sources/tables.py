@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from headway.sources.payload_files import file_store
+
 # Names of the five source tables.
 SILVER_TABLES = ("routes", "trips", "stop_events", "stops", "realtime_stop_events")
 
@@ -156,21 +158,10 @@ class FolderCatalog(Catalog):
         return self.read(table)
 
     def drop_parts(self, table: str, parts: Sequence[Mapping[str, object]]) -> None:
-        # A folder is emptied by writing no rows over it.
-        if not parts:
-            return
-        nothing = self.read(table).limit(0)
+        store, root = file_store(self.name(table))
         for part in parts:
             where = "/".join(f"{name}={_folder_text(value)}" for name, value in part.items())
-            path = f"{self.name(table)}/{where}"
-            rows = nothing.drop(*part)
-            try:
-                self.spark.read.format(self.fmt).load(path).schema
-            except AnalysisException as problem:
-                if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                    continue
-                raise
-            rows.write.format(self.fmt).mode("overwrite").save(path)
+            store.delete_dir_contents(f"{root}/{where}", missing_dir_ok=True)
 
     def _save_parts(self, df: DataFrame, table: str, partition_by: Sequence[str]) -> None:
         writer = df.write.format(self.fmt).mode("overwrite").partitionBy(*partition_by)
