@@ -60,6 +60,11 @@ class FragmentEncoder:
         self._learn(new)
         return [b"".join(map(known.__getitem__, fragments)) for fragments in cut]
 
+    def forget(self) -> None:
+        """Empty the table of fragments."""
+        self._known, self._old, self._characters = {}, {}, 0
+        self._endings.clear()
+
     def _learn(self, new: set[str]) -> None:
         """Add fragments: from the old generation, by word and ending, or encoded whole."""
         known, old, rest = self._known, self._old.get, []

@@ -12,6 +12,7 @@ are packed each; their sequences have different ids. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -30,19 +31,31 @@ def piece_lengths(n: int, longest: int) -> list[int]:
 
 
 def pack_documents(
-    documents: DataFrame, tokenizer: str, end_id: int, longest: int = 2048
+    documents: DataFrame,
+    tokenizer: str,
+    end_id: int,
+    longest: int = 2048,
+    most_fragments: int = 250_000,
+    sums_only: bool = False,
+    forget: bool = False,
 ) -> DataFrame:
     """Pieces: doc_id, start, length, doc_tokens and ids (little-endian, four bytes each).
 
-    No shuffle: a document is encoded and cut where it is.
+    With `sums_only` the ids stay where they are and ids_crc32, their check sum, comes instead.
+
+    No shuffle: a document is encoded and cut where it is. `most_fragments` bounds the
+    encoder's table of what it has met, and with `forget` a task empties it when it ends
+    instead of leaving it to the worker's next one; both change memory and time only.
     """
     if longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    name, kind = ("ids_crc32", "long") if sums_only else ("ids", "binary")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([end_id], "<u4").tobytes()
-        encode = encoder(tokenizer).encode
+        known = encoder(tokenizer, most_fragments)
+        encode = known.encode
         for whole in batches:
             for batch in slices(whole, "text"):
                 texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -55,19 +68,22 @@ def pack_documents(
                         starts.append(at)
                         lengths.append(length)
                         totals.append(n)
-                        ids.append(body[4 * at : 4 * (at + length)])
+                        piece = body[4 * at : 4 * (at + length)]
+                        ids.append(crc32(piece) if sums_only else piece)
                         at += length
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys, pa.int64()), pa.array(starts, pa.int64()),
                         pa.array(lengths, pa.int64()), pa.array(totals, pa.int64()),
-                        pa.array(ids, pa.binary()),
+                        pa.array(ids, pa.int64() if sums_only else pa.binary()),
                     ],
-                    names=["doc_id", "start", "length", "doc_tokens", "ids"],
+                    names=["doc_id", "start", "length", "doc_tokens", name],
                 )
+        if forget:
+            known.forget()
 
     return docs.mapInArrow(
-        cut, "doc_id long, start long, length long, doc_tokens long, ids binary"
+        cut, f"doc_id long, start long, length long, doc_tokens long, {name} {kind}"
     )
 
 

@@ -137,11 +137,20 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def packed(documents: DataFrame) -> DataFrame:
+def packed(
+    documents: DataFrame, most_fragments: int = 250_000, forget: bool = False
+) -> DataFrame:
     """Pieces of the documents with their sequences, ids as a check sum."""
-    pieces = pack_documents(documents, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
-    digest = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
-    return number_sequences(stored(digest, "pieces")).select(
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    pieces = pack_documents(
+        documents,
+        tokenizer,
+        end_id=1,
+        most_fragments=most_fragments,
+        sums_only=True,
+        forget=forget,
+    )
+    return number_sequences(stored(pieces, "pieces")).select(
         "doc_id",
         "start",
         "length",
