@@ -8,6 +8,7 @@ the mix is packed. A stage reads what the stage before it wrote and nothing else
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,9 @@ from headway.session import new_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 THRESHOLD = 0.3
+# The workers that pack run other stages before and after, so the encoder gets less memory
+# and gives it back.
+FRAGMENTS = 120_000
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,20 +39,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near duplicates.
 
-    Ids say which documents stay; they are joined with the texts once. Of rows that repeat a
-    kept id one stays; only such rows are brought together for that.
+    The ids that go, or that rows repeat, are the short list; all other documents stay where
+    they are unless that list is too long to broadcast. Of rows that repeat a kept id one
+    stays; only such rows are brought together for that. Rows without an id all stay.
     """
     docs = docs.select(*COLUMNS)
-    labels = near_duplicates(docs).filter("kept and doc_id is not null")
-    kept = stored(labels.groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    single = docs.join(kept.filter("rows = 1"), "doc_id", "left_semi")
-    several = docs.join(kept.filter("rows > 1"), "doc_id", "left_semi")
+    labels = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id")
+    marks = labels.agg(F.count("*").alias("rows"), F.min("kept").alias("kept"))
+    marks = stored(marks.filter("not kept or rows > 1"), "marks")
+    single = docs.join(marks.select("doc_id"), "doc_id", "left_anti")
+    several = docs.join(marks.filter("kept").select("doc_id"), "doc_id", "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
     one = several.withColumn("place", F.row_number().over(order)).filter("place = 1")
-    without_id = docs.filter("doc_id is null")
-    return single.union(one.drop("place").select(*single.columns)).union(
-        without_id.select(*single.columns)
-    ).select(*COLUMNS)
+    return single.select(*COLUMNS).union(one.select(*COLUMNS))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,16 +73,30 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut documents into sequences whose lengths are powers of two."""
-    return packed(docs)
+    return packed(docs, most_fragments=FRAGMENTS, forget=True)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+# Rows go to the workers a few megabytes at a time, so that long texts, which a batch could
+# hold ten thousand of, do not fill an executor.
+BATCH_BYTES = 4 << 20
+
+
+def _bounded(stage: Stage) -> Stage:
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", quality),
-    ("near_dedup", near_dedup),
-    ("secrets", secrets),
-    ("mixture", mixture),
-    ("packing", packing),
+    ("quality", _bounded(quality)),
+    ("near_dedup", _bounded(near_dedup)),
+    ("secrets", _bounded(secrets)),
+    ("mixture", _bounded(mixture)),
+    ("packing", _bounded(packing)),
 ]
 
 # The quality score, signatures and tokens are beyond SQL.
