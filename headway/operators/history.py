@@ -54,8 +54,12 @@ def read_ledger(catalog: Catalog, table: str = HISTORY_TABLE) -> DataFrame:
 
 
 def read_history(catalog: Catalog, table: str = HISTORY_TABLE) -> DataFrame:
-    """The rows of finished loads. Names of partitions decide, so others are not opened."""
-    finished = read_ledger(catalog, table).select(*_LAYOUT).distinct()
+    """The rows of finished loads. Names of partitions decide, so others are not opened.
+
+    The finished ones are as many as the table has folders, which the driver lists anyway;
+    joined by a shuffle they would cost one of the whole history.
+    """
+    finished = F.broadcast(read_ledger(catalog, table).select(*_LAYOUT).distinct())
     return catalog.read(table).join(finished, _LAYOUT, "left_semi").drop("load")
 
 
@@ -85,16 +89,19 @@ def _enter(catalog: Catalog, table: str, load: str) -> None:
     written = catalog.read(table).filter(F.col("load") == load)
     columns = [c for c in written.columns if c not in ("feed_timestamp", *_LAYOUT)]
     nulls = F.array(*[F.count_if(F.col(c).isNull()) for c in columns])
-    snapshots = written.groupBy("feed_timestamp", HISTORY_PARTITION).agg(
-        F.count("*").alias("rows"),
-        F.map_from_arrays(F.array(*map(F.lit, columns)), nulls).alias("nulls"),
+    counted = written.groupBy("feed_timestamp", HISTORY_PARTITION).agg(
+        F.count("*").alias("rows"), nulls.alias("nulls")
+    )
+    # All tasks count; one writes what they have counted.
+    snapshots = counted.repartition(1).withColumn(
+        "nulls", F.map_from_arrays(F.array(*map(F.lit, columns)), "nulls")
     )
     last = None
     if catalog.exists(name):
         last = catalog.read(name).agg(F.max("entry")).first()[0]
     entry = F.lit(0 if last is None else last + 1).cast("long").alias("entry")
     rows = snapshots.select("*", F.lit(load).alias("load"), entry)
-    catalog.append(rows.coalesce(1), name)
+    catalog.append(rows, name)
 
 
 def unseen_snapshots(batch: DataFrame, finished: DataFrame) -> DataFrame:
@@ -119,13 +126,17 @@ def append_new_snapshots(
     dated = with_feed_date(batch.filter("feed_timestamp is not null"))
     dated = dated.persist(StorageLevel.DISK_ONLY)
     try:
-        fresh = dated.select("feed_timestamp", HISTORY_PARTITION).distinct()
-        if history_exists(catalog, table):
+        arrived = fresh = dated.select("feed_timestamp", HISTORY_PARTITION).distinct()
+        known = history_exists(catalog, table)
+        if known:
             fresh = unseen_snapshots(dated, read_ledger(catalog, table))
         load = _load_name(fresh, "load-")
         if load is None:
             return None
-        rows = dated.join(fresh.select("feed_timestamp"), "feed_timestamp", "left_semi")
+        rows = dated
+        # Where every snapshot is new, the rows need not be looked up.
+        if known and _load_name(arrived, "load-") != load:
+            rows = dated.join(fresh.select("feed_timestamp"), "feed_timestamp", "left_semi")
         catalog.replace_parts(rows.withColumn("load", F.lit(load)), table, _LAYOUT)
     finally:
         dated.unpersist()
