@@ -167,6 +167,13 @@ def requested_vehicles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.vehicles(spark, sf_dir).select("vehicle_id").distinct()
 
 
+def landed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deduplicated observations in scope, written once: several loads read them."""
+    folder = new_folder(spark, "batch")
+    dedupe_observations(scoped_history(spark, sf_dir)).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 # Scope and history
 
 for _name, _table in (
@@ -185,7 +192,7 @@ _over(scoped_history, dedupe_observations, "observations_dedup")
 def _append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append everything twice; the second time adds nothing."""
     catalog = FolderCatalog(spark, new_folder(spark, "history"))
-    batch = dedupe_observations(scoped_history(spark, sf_dir))
+    batch = landed_batch(spark, sf_dir)
     append_new_snapshots(batch, catalog)
     append_new_snapshots(batch, catalog)
     return read_history(catalog)
@@ -196,7 +203,7 @@ def _lost_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads that were lost before they were entered: the one that is retried had
     written a part of its rows, the other one rows of snapshots that another load brings."""
     catalog = FolderCatalog(spark, new_folder(spark, "history"))
-    batch = dedupe_observations(scoped_history(spark, sf_dir))
+    batch = landed_batch(spark, sf_dir)
     early = F.col("feed_timestamp") < F.timestamp_seconds(F.lit(t.NOW + 40 * 86400))
     load = append_new_snapshots(batch.filter(early), FolderCatalog(spark, new_folder(spark, "trial")))
     for name, lost in ((load, early & (F.col("stop_sequence") % 2 == 0)), ("load-other", ~early)):
@@ -211,7 +218,7 @@ def _lost_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three loads that share days, the closed days of which are made one load."""
     catalog = FolderCatalog(spark, new_folder(spark, "history"))
-    batch = dedupe_observations(scoped_history(spark, sf_dir))
+    batch = landed_batch(spark, sf_dir)
     for part in range(3):
         some = F.pmod(F.xxhash64("feed_timestamp"), F.lit(3)) <= part
         append_new_snapshots(batch.filter(some), catalog)
@@ -260,7 +267,7 @@ def _report_of_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, df in t.raw_timetable(spark, sf_dir).items():
         df.write.option("header", True).csv(f"{folder}/gtfs/{name}.txt")
     run_static(spark, f"{folder}/gtfs", catalog, t.AGENCIES)
-    batch = dedupe_observations(scoped_history(spark, sf_dir))
+    batch = landed_batch(spark, sf_dir)
     half = F.pmod(F.xxhash64("feed_timestamp"), F.lit(2)) == 0
     append_new_snapshots(batch.filter(half), catalog)
     append_new_snapshots(batch, catalog)
