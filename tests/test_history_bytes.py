@@ -53,3 +53,15 @@ def test_a_batch_of_several_loads_is_computed_once(spark):
     wanted = queries.dedupe_observations(queries.scoped_history(spark, SMALL))
     assert rows.exceptAll(wanted).count() == 0 and wanted.count() == rows.count()
     assert "Window" not in plan(rows) and "Join" not in plan(rows)
+
+
+def test_a_refresh_of_the_connector_reads_a_stored_table(spark, monkeypatch):
+    plans, publish = [], queries.publish
+
+    def spied(tables, *rest):
+        plans.append(plan(tables["route_reliability"]))
+        return publish(tables, *rest)
+
+    monkeypatch.setattr(queries, "publish", spied)
+    queries.QUERIES["publish_connector"](spark, SMALL)
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
