@@ -8,7 +8,7 @@ for a word fails to the state of its suffix at the cost ``prior / (c(h) + prior)
 read once from left to right; the state is carried from word to word.
 
 No task holds the whole model, which grows with the corpus. Documents are dealt to blocks of
-half a million words or so. A block sends the 64-bit keys of its distinct n-grams, with how often
+a quarter of a million words or so. A block sends the 64-bit keys of its distinct n-grams, with how often
 they occur in its training texts, to the key ranges; a range adds up and answers each block
 with the totals in the order in which it asked, without the keys. From the answers a block
 builds the automaton of just its own n-grams, which has every arc that its texts can take,
@@ -38,7 +38,9 @@ from headway.llm.wordbytes import mix, slices
 
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _PIECE = 8 << 20
-_BLOCK_TOKENS, _BLOCK_BYTES = 1 << 19, 16 << 20
+_BLOCK_TOKENS, _BLOCK_BYTES = 1 << 18, 8 << 20
+# Texts and blocks go to Python by the megabyte: ten thousand of them are a batch of any size.
+_BATCH_BYTES = 4 << 20
 _RANGE_NGRAMS = 2 << 20
 # Words that are read one after the other; the runs of a block are read side by side.
 _RUN = 512
@@ -409,6 +411,7 @@ def score_texts(
     The default prior is the best of 1, 5, 20, 100, 500, 3000 and 20000 on texts held out.
     """
     spark = documents.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH_BYTES))
     rows = documents.select(
         F.monotonically_increasing_id().alias("doc_row"),
         F.col("doc_id").cast("long").alias("doc_id"),

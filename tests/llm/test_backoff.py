@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -107,6 +108,25 @@ def test_state_goes_from_piece_to_piece(monkeypatch, order, run):
     assert np.allclose(list(scores[0].values()), [want[i][3] for i in range(3)])
 
 
+def test_blocks_and_batches_are_bounded(spark):
+    words = " ".join(f"w{i}" for i in range(400_000))
+    texts = [words[a : a + 20_000] for a in range(0, len(words), 20_000)]
+    columns = [range(len(texts)), range(len(texts)), [True] * len(texts), texts]
+    names = ["doc_row", "doc_id", "trained", "text"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+    rows = list(backoff._blocks(2)(iter([batch])))
+    assert max(r.nbytes for r in rows) < 4 << 20
+    assert sorted(i for r in rows for i in r.column("doc_ids")[0].as_py()) == list(range(len(texts)))
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, str(1 << 30))
+        backoff.score_texts(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), F.lit(True))
+        assert int(spark.conf.get(setting)) <= 8 << 20
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_without_training_texts(spark):
     rows = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     found = backoff.score_texts(rows, F.lit(False)).collect()
