@@ -133,3 +133,17 @@ def test_shared_folder_follows_the_session(spark):
     assert folder == shared_folder(spark)
     if named:
         assert folder == named.rstrip("/")
+
+
+def test_long_trips_are_asked_for_before_events_are_dealt(shuffled, folder):
+    from headway.operators.propagation import with_previous_stop
+
+    row = "date'2024-01-01' service_date, id trip_id, 1 stop_sequence, id stop_id, 'S' stop_name"
+    shuffled.range(9).selectExpr(*row.split(", "), "id arrival_delay_seconds").write.parquet(folder)
+    plan = plan_of(with_previous_stop(shuffled.read.parquet(folder)))
+    assert "ubquery#" in plan
+
+
+def test_serving_copies_are_compared_with_stored_tables(shuffled):
+    plan = plan_of(QUERIES["publish_reconcile"](shuffled, SMALL))
+    assert "Window [" not in plan and "FileScan parquet" in plan
