@@ -314,7 +314,10 @@ def with_text_ids(df: DataFrame) -> DataFrame:
 def updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, line = "l_orderkey", "l_linenumber"
     aggregated = [F.expr(text) for text in UPDATES[3:]]
-    grouped = table(spark, sf_dir, "lineitem").groupBy(key, line).agg(*aggregated)
+    lines = table(spark, sf_dir, "lineitem").select(key, line, "l_quantity")
+    # Few rows share an order's line: counting them before they are dealt would save nothing
+    # and fill the memory of the tasks that read, of which a file may have but one.
+    grouped = lines.repartition(key, line).groupBy(key, line).agg(*aggregated)
     return grouped.selectExpr(*UPDATES[:3], *grouped.columns[2:])
 
 

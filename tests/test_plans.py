@@ -147,3 +147,11 @@ def test_long_trips_are_asked_for_before_events_are_dealt(shuffled, folder):
 def test_serving_copies_are_compared_with_stored_tables(shuffled):
     plan = plan_of(QUERIES["publish_reconcile"](shuffled, SMALL))
     assert "Window [" not in plan and "FileScan parquet" in plan
+
+
+def test_stop_updates_are_dealt_before_they_are_grouped(shuffled):
+    plan = plan_of(t.updates(shuffled, SMALL))
+    below = plan[plan.index("Exchange hashpartitioning(l_orderkey") :]
+    assert "REPARTITION_BY_COL" in below.splitlines()[0] and "Aggregate" not in below
+    rows = t.updates(shuffled, SMALL)
+    assert rows.count() == rows.select("trip_id", "update_index").distinct().count() > 0
