@@ -14,7 +14,7 @@ import re
 from array import array
 from itertools import chain
 
-_SPACES = re.compile(r"\s ")
+_SPACES = re.compile(r" (?<=\s )")
 _PLACES = re.compile(r"(?<=\S)(?= )")
 # Punctuation that ends words; both tokenizers cut between a letter and a run of it.
 _ENDINGS = ".,;:!?)%*#$&"
@@ -26,6 +26,9 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _SPELLING = {
     b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _PRINTABLE)
 }
+_SPACE = chr(_SPELLING[0x20])
+# Line ends, each between two characters that are no white space.
+_LINES = re.compile(r"\s?\S+(?:\n\S+)+").fullmatch
 _encoders: dict[tuple[str, int], FragmentEncoder] = {}
 
 
@@ -66,30 +69,46 @@ class FragmentEncoder:
         self._endings.clear()
 
     def _learn(self, new: set[str]) -> None:
-        """Add fragments: from the old generation, by word and ending, or encoded whole."""
-        known, old, rest = self._known, self._old.get, []
-        for fragment in new:
-            if (ids := old(fragment)) is None:
-                word = fragment.rstrip(_ENDINGS)
-                if len(word) == len(fragment):
-                    ids = self._word(word)
-                elif (ids := known.get(word) or old(word) or self._word(word)) is not None:
-                    if not _LETTERS(word):
-                        ids = None
-                    else:
-                        known[word] = ids
-                        ids += self._ending(fragment[len(word) :])
-                if ids is None:
-                    rest.append(fragment)
-                    continue
-            known[fragment] = ids
+        """Add fragments: from the old generation, by their parts, or encoded whole."""
+        known, old, rest = self._known, self._old, []
         self._characters += sum(map(len, new))
+        again = old.keys() & new
+        known.update(zip(again, map(old.__getitem__, again)))
+        for fragment in new - again:
+            if "\n" in fragment and _LINES(fragment):
+                ids = self._by_lines(fragment)
+            else:
+                ids = self._by_word(fragment)
+            if ids is None:
+                rest.append(fragment)
+            else:
+                known[fragment] = ids
         for at in range(0, len(rest), 1024):
             some = rest[at : at + 1024]
             done = self._tokenizer.encode_batch_fast(some, add_special_tokens=False)
             for fragment, encoding in zip(some, done, strict=True):
                 known[fragment] = array("I", encoding.ids).tobytes()
 
+    def _by_word(self, fragment: str) -> bytes | None:
+        """Ids of Latin letters and the punctuation that follows them; of nothing else."""
+        word = fragment.rstrip(_ENDINGS)
+        if len(word) == len(fragment):
+            return self._word(word)
+        if not _LETTERS(word):
+            return None
+        known = self._known
+        if (ids := known.get(word) or self._old.get(word) or self._word(word)) is None:
+            return None
+        known[word] = ids
+        return ids + self._ending(fragment[len(word) :])
+
+    def _by_lines(self, fragment: str) -> bytes | None:
+        """Ids of lines of such words; both tokenizers cut at a line's end between other characters."""
+        known, old = self._known.get, self._old.get
+        lines = fragment.split("\n")
+        found = [known(line) or old(line) or self._by_word(line) for line in lines]
+        return None if None in found else self._ending("\n").join(found)
+
     def _word(self, word: str) -> bytes | None:
         """Ids of Latin letters, with or without a space before them; of nothing else.
 
@@ -99,8 +118,10 @@ class FragmentEncoder:
             return None
         if self._lowers:
             word = word.lstrip(" ").lower()
-        if not (word.isascii() and word[0] != " "):
+        if not word.isascii():
             word = word.encode().decode("latin-1").translate(_SPELLING)
+        elif word[0] == " ":
+            word = _SPACE + word[1:]
         return array("I", [t.id for t in self._tokenize(word)]).tobytes()
 
     def _ending(self, ending: str) -> bytes:

@@ -294,6 +294,28 @@ def test_encoder_equals_tokenizer():
             assert np.frombuffer(ids, "<u4").tolist() == want, text
 
 
+def test_encoder_builds_lines_from_their_words():
+    """Words met before, with punctuation and line ends, need not be encoded again."""
+    texts = ["the word, of.\nÉtat\nthe. end", "the word.\nof, the\n\nend \n of.\n\tthe\n", "\nthe.\n.\nof"]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        plain = Tokenizer.from_file(public_tokenizers.path(name))
+        for most in (3, 1000):
+            own = FragmentEncoder(public_tokenizers.path(name), most)
+            for text in [*texts, *texts]:
+                want = plain.encode(text, add_special_tokens=False).ids
+                assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == want, text
+        asked = []
+
+        class Counted:
+            def encode_batch_fast(self, some, **options):
+                asked.extend(some)
+                return plain.encode_batch_fast(some, **options)
+
+        own._tokenizer = Counted()
+        own.encode(["of the word.\nof end.\nÉtat, the\nword"])
+        assert asked == []
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(3)
     off = []
