@@ -43,37 +43,51 @@ def final_stops(stop_times: DataFrame) -> DataFrame:
     )
 
 
-def trip_context(
-    trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stops: DataFrame
-) -> DataFrame:
-    """Route, mode and destination per trip; unmatched parts stay empty."""
-    named_stops = stops.select(
-        F.col("stop_id").alias("destination_stop_id"),
-        F.col("stop_name").alias("destination_stop_name"),
-    )
-    last = final_stops(stop_times).join(named_stops, "destination_stop_id", "left")
+def trip_lines(trips: DataFrame, routes: DataFrame, stop_times: DataFrame) -> DataFrame:
+    """Route and the id of the last stop per trip; unmatched parts stay empty."""
     lines = routes.select("route_id", "route_short_name", "route_long_name", "route_type")
+    # Ids meet first: names of routes then need not be dealt by trip.
     return (
         trips.select("trip_id", "route_id", "trip_headsign")
+        .join(final_stops(stop_times), "trip_id", "left")
         .join(lines, "route_id", "left")
-        .join(last, "trip_id", "left")
-        .select(
-            "trip_id",
-            "route_id",
-            "trip_headsign",
-            "route_short_name",
-            "route_long_name",
-            "route_type",
-            "destination_stop_id",
-            "destination_stop_name",
-            live_mode(F.col("route_type")).alias("transport_mode"),
-            destination_text(F.col("trip_headsign"), F.col("destination_stop_name")).alias(
-                "destination"
-            ),
-        )
     )
 
 
+def with_destination_name(lines: DataFrame, stops: DataFrame) -> DataFrame:
+    """:func:`trip_lines` with the name of the last stop."""
+    named_stops = stops.select(
+        F.col("stop_id").alias("destination_stop_id"),
+        F.col("stop_name").alias("destination_stop_name"),
+    )
+    return lines.join(named_stops, "destination_stop_id", "left")
+
+
+def context_of_lines(lines: DataFrame) -> DataFrame:
+    """Mode and destination of :func:`with_destination_name`, from the columns of a row."""
+    return lines.select(
+        "trip_id",
+        "route_id",
+        "trip_headsign",
+        "route_short_name",
+        "route_long_name",
+        "route_type",
+        "destination_stop_id",
+        "destination_stop_name",
+        live_mode(F.col("route_type")).alias("transport_mode"),
+        destination_text(F.col("trip_headsign"), F.col("destination_stop_name")).alias(
+            "destination"
+        ),
+    )
+
+
+def trip_context(
+    trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stops: DataFrame
+) -> DataFrame:
+    """Route, mode and destination per trip; unmatched parts stay empty."""
+    return context_of_lines(with_destination_name(trip_lines(trips, routes, stop_times), stops))
+
+
 def trip_stops(stop_times: DataFrame, stops: DataFrame) -> DataFrame:
     """Every scheduled stop of a trip with its name and place."""
     places = stops.select("stop_id", "stop_name", "stop_lat", "stop_lon")

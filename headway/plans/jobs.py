@@ -27,7 +27,12 @@ from headway.operators.ids import (
     numbers_of,
     read_dictionary,
 )
-from headway.operators.live import trip_context, trip_stops
+from headway.operators.live import (
+    context_of_lines,
+    trip_lines,
+    trip_stops,
+    with_destination_name,
+)
 from headway.operators.observations import canonical_events, stop_observations
 from headway.operators.propagation import (
     delay_propagation_events,
@@ -134,6 +139,10 @@ TRIP_CONTEXT = "trip_context"
 TRIP_STOPS = "trip_stops"
 
 
+# Names and places of this many stops, some fifty megabytes, are sent to every executor.
+MOST_SENT_STOPS = 500_000
+
+
 def write_board_tables(
     trips: DataFrame, routes: DataFrame, stop_times: DataFrame, stops: DataFrame, catalog: Catalog
 ) -> dict[str, DataFrame]:
@@ -143,12 +152,23 @@ def write_board_tables(
     few and are broadcast to it, or, when they are many, are dealt to its buckets.
     """
     buckets = int(catalog.spark.conf.get("spark.sql.shuffle.partitions"))
-    frames = {
-        TRIP_CONTEXT: trip_context(trips, routes, stop_times, stops),
-        TRIP_STOPS: trip_stops(stop_times, stops),
-    }
+    lines = trip_lines(trips, routes, stop_times)
+    if stops.count() <= MOST_SENT_STOPS:
+        # Ids are dealt, and names are added where they lie then.
+        sent = F.broadcast(stops)
+        times = stop_times.select("trip_id", "stop_id", "stop_sequence")
+        frames = {
+            TRIP_CONTEXT: (lines, lambda df: context_of_lines(with_destination_name(df, sent))),
+            TRIP_STOPS: (times, lambda df: trip_stops(df, sent)),
+        }
+    else:
+        frames = {
+            TRIP_CONTEXT: (with_destination_name(lines, stops), context_of_lines),
+            TRIP_STOPS: (trip_stops(stop_times, stops), None),
+        }
     return {
-        name: catalog.replace_bucketed(df, name, "trip_id", buckets) for name, df in frames.items()
+        name: catalog.replace_bucketed(df, name, "trip_id", buckets, after)
+        for name, (df, after) in frames.items()
     }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from urllib.parse import quote
 
@@ -66,12 +66,22 @@ class Catalog:
         self._save(writer.option("overwriteSchema", "true"), table)
         return self.read(table)
 
-    def replace_bucketed(self, df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    def replace_bucketed(
+        self,
+        df: DataFrame,
+        table: str,
+        key: str,
+        buckets: int,
+        after: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> DataFrame:
         """Replace a table with ``df`` in buckets of ``key``, one file each, sorted by it.
 
         Joins on the key read the buckets side by side without a shuffle of the table.
+        ``after`` adds columns to the dealt rows; it must leave rows where they are.
         """
         dealt = df.repartition(buckets, key)
+        if after is not None:
+            dealt = after(dealt)
         writer = dealt.write.format(self.fmt).mode("overwrite").bucketBy(buckets, key).sortBy(key)
         writer.saveAsTable(self.name(table))
         return self.read(table)
@@ -151,9 +161,18 @@ class FolderCatalog(Catalog):
     def _save(self, writer: DataFrameWriter, table: str) -> None:
         writer.save(self.name(table))
 
-    def replace_bucketed(self, df: DataFrame, table: str, key: str, buckets: int) -> DataFrame:
+    def replace_bucketed(
+        self,
+        df: DataFrame,
+        table: str,
+        key: str,
+        buckets: int,
+        after: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> DataFrame:
         # Buckets need a metastore; sorted files still let a scan skip by the key's range.
         shaped = df.repartitionByRange(buckets, key).sortWithinPartitions(key)
+        if after is not None:
+            shaped = after(shaped)
         shaped.write.format(self.fmt).mode("overwrite").save(self.name(table))
         return self.read(table)
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from headway.operators import live
+from headway.plans import jobs
 from headway.plans.jobs import TRIP_CONTEXT, TRIP_STOPS, write_board_tables
 from headway.registry.encode import encode_feed
 from headway.sources.payload_files import write_payload_files
@@ -96,6 +97,33 @@ def test_newest_snapshot_of_a_trip_counts(spark):
     assert got == {11: (2, NOW + 90), 12: (1, NOW + 10)}
 
 
+def test_board_tables_are_dealt_by_ids(spark, folder, monkeypatch):
+    """Names of few stops are added after the exchange; with many the rows are the same."""
+    dealt = {}
+
+    class Watched(FolderCatalog):
+        def replace_bucketed(self, df, table, *rest):
+            dealt[table] = set(df.columns)
+            return super().replace_bucketed(df, table, *rest)
+
+    trips, routes, times, stops = network(spark)
+    # Rows that repeat a stop repeat those of its trips.
+    stops = stops.union(stops.limit(1))
+    want = {
+        TRIP_CONTEXT: live.trip_context(trips, routes, times, stops),
+        TRIP_STOPS: live.trip_stops(times, stops),
+    }
+    for most in (jobs.MOST_SENT_STOPS, 0):
+        monkeypatch.setattr(jobs, "MOST_SENT_STOPS", most)
+        catalog = Watched(spark, f"{folder}/few-{most}")
+        tables = write_board_tables(trips, routes, times, stops, catalog)
+        for name, df in want.items():
+            assert tables[name].columns == df.columns
+            assert sorted(map(repr, tables[name].collect())) == sorted(map(repr, df.collect()))
+            names = {"stop_name", "stop_lat", "destination_stop_name"} if most else set()
+            assert not dealt[name] & (names | {"destination"})
+
+
 def test_board_does_not_shuffle_the_timetable(spark, folder):
     name = f"board_{abs(hash(folder)) % 10**9}"
     spark.sql(f"create database {name}")
