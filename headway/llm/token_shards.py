@@ -33,7 +33,7 @@ _BLOCK_DOCUMENTS, _BLOCK_BYTES = 4096, 4 << 20
 _PART_KEYS = 1 << 16
 _LEVELS = 48
 # Of the encoder's table; a smaller one takes less memory and meets more words anew.
-_FRAGMENTS = 500_000
+_FRAGMENTS = 1_000_000
 _STEP = 0x9E3779B97F4A7C15
 
 
