@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from headway.functions import utc_date
@@ -56,11 +56,16 @@ def read_ledger(catalog: Catalog, table: str = HISTORY_TABLE) -> DataFrame:
 def read_history(catalog: Catalog, table: str = HISTORY_TABLE) -> DataFrame:
     """The rows of finished loads. Names of partitions decide, so others are not opened.
 
-    The finished ones are as many as the table has folders, which the driver lists anyway;
-    joined by a shuffle they would cost one of the whole history.
+    The finished ones are as many as the table has folders, which the driver lists anyway, so
+    it is given their names; a join could cost a shuffle of the whole history.
     """
-    finished = F.broadcast(read_ledger(catalog, table).select(*_LAYOUT).distinct())
-    return catalog.read(table).join(finished, _LAYOUT, "left_semi").drop("load")
+
+    def part(day: Column) -> Column:
+        return F.concat_ws("/", day.cast("string"), F.col("load"))
+
+    finished = read_ledger(catalog, table).select(part(F.col(HISTORY_PARTITION)).alias("part")).distinct()
+    names = [row["part"] for row in finished.collect()]
+    return catalog.read(table).filter(part(F.col(HISTORY_PARTITION)).isin(names)).drop("load")
 
 
 def history_exists(catalog: Catalog, table: str = HISTORY_TABLE) -> bool:
