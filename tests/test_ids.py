@@ -104,3 +104,17 @@ def test_jobs_over_text_ids(spark, folder, catalog):
         ("T-1", "R1", "Place:1", "First", 60),
     ]
     assert catalog.read("trip_context").count() == 3
+
+
+def test_only_plain_numbers_are_cast(spark):
+    """A cast that fails costs an exception a row, so other texts must not come to one."""
+    from pyspark.sql import functions as F
+
+    from headway.operators.ids import own_number
+
+    texts = ["0", "12", "9223372036854775807", "9223372036854775808", "-0", "+5", "7\n", " 7", "00", "T3", "1e3", "", None]
+    rows = spark.createDataFrame([(x,) for x in texts], "text string").select("text", own_number(F.col("text")).alias("id"))
+    assert {r.text: r.id for r in rows.collect() if r.id is not None} == {
+        "0": 0, "12": 12, "9223372036854775807": 9223372036854775807}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("RLIKE") < plan.index("THEN") < plan.index("cast(text")
